@@ -212,6 +212,10 @@ def encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every text of ``documents``: see the module."""
-    found = encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return digests(encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")))
+
+
+def digests(found: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, and SHA-256 of the decimal ids, joined by spaces, and of the decoded text."""
     joined = F.array_join(F.col("ids").cast("array<string>"), " ")
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

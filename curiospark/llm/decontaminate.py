@@ -14,7 +14,7 @@ each on its own; other columns of either table are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -117,21 +117,22 @@ def pattern_blocks(benchmark: DataFrame, width: int, most: int) -> Iterator[dict
     yield block
 
 
-STATE = "doc_id {kind}, text string, n_words long, hits binary, items array<string>"
+STATE = ", n_words long, hits binary, items array<string>"
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, most: int = MOST_PATTERNS) -> DataFrame:
-    """doc_id, text, n_words, n_hit, hits (bit k of the bytes, high bit first: word k is hit), items (sorted)."""
+def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, most: int = MOST_PATTERNS, carry: Sequence[str] = ("doc_id", "text")) -> DataFrame:
+    """The columns ``carry``, n_words, n_hit, hits (bit k of the bytes, high bit first: word k is hit), items (sorted)."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    state = docs.select("doc_id", "text", F.lit(0).cast("long").alias("n_words"), F.lit(b"").alias("hits"), F.array().cast("array<string>").alias("items"))
+    own = docs.select(*carry, F.col("text").alias("_text"))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema) + STATE
+    state = own.select("*", F.lit(0).cast("long").alias("n_words"), F.lit(b"").alias("hits"), F.array().cast("array<string>").alias("items"))
     for k, block in enumerate(pattern_blocks(benchmark, width, most)):
         if k:
             state = keep(state, "decontaminate")  # one block's tables at a time on the executors
         shared = spark.sparkContext.broadcast(block)
-        state = state.mapInArrow(_pass(shared), STATE.format(kind=kind))
-    return state.withColumn("n_hit", _ones(F.col("hits")))
+        state = state.mapInArrow(_pass(shared, own.columns), ddl)
+    return state.drop("_text").withColumn("n_hit", _ones(F.col("hits")))
 
 
 def _ones(hits):
@@ -143,7 +144,7 @@ def _ones(hits):
     return bits.cast("long")
 
 
-def _pass(shared):
+def _pass(shared, columns: list[str]):
     made: list[Searcher] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +152,7 @@ def _pass(shared):
             made.append(Searcher(shared.value))
         for batch in batches:
             before, found = batch.column("hits"), batch.column("items")
-            for first, texts in slices(batch.column("text")):
+            for first, texts in slices(batch.column("_text")):
                 w, cover, items = made[0].search(texts)
                 hits, names = [], []
                 for d in range(len(texts)):
@@ -163,7 +164,7 @@ def _pass(shared):
                     hits.append(bits.tobytes() if bits.any() else b"")
                     names.append(sorted({*(found[first + d].as_py() or ()), *items[d]}))
                 part = batch.slice(first, len(texts))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), pa.array(np.diff(w.ptr), pa.int64()), pa.array(hits, pa.binary()), pa.array(names, pa.list_(pa.string()))], ["doc_id", "text", "n_words", "hits", "items"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(np.diff(w.ptr), pa.int64()), pa.array(hits, pa.binary()), pa.array(names, pa.list_(pa.string()))], [*columns, "n_words", "hits", "items"])
 
     return run
 
@@ -174,5 +175,5 @@ def contaminated(found: DataFrame, least_items: int = 2) -> DataFrame:
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search ``documents`` for windows of ``benchmark``: see the module."""
-    found = contaminated(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    found = contaminated(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=("doc_id",)))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")

@@ -4,7 +4,8 @@ A text's set holds its distinct shingles of five words. Two different sets link
 at least ``percent`` / 100. Sizes are cut into bands; a pair belongs to the band of its smaller set, and there its
 symmetric difference has at most k members. The shingles' domain is partitioned into n1 groups of n2 parts such that
 in some group at most k2 parts differ; so the two sets agree in one of the enumerated subsets of n2 - k2 parts and
-share that subset's signature. A set gives signatures to its own band and to those of its possible smaller partners.
+share that subset's signature, and mostly many: a set that shares fewer signatures than any partner would share with it
+is out. A set gives signatures to its own band and to those of its possible smaller partners.
 
 Signatures of nothing would be shared by sets that have nothing in common. There are more parts than needed
 (``SPARE``), so that a set leaves its empty subsets out if a pair that agrees in k fewer parts must still agree in
@@ -87,8 +88,11 @@ BANDS = Bands()
 SUBSETS = {3: list(combinations(range(3), 2)), 4: list(combinations(range(4), 2))}
 
 
-def signatures(sets: list[np.ndarray], bands: Bands = BANDS) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, index of the set) of all sets; sets must be sorted."""
+def signatures(sets: list[np.ndarray], bands: Bands = BANDS, needed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, index of the set) of all sets; sets must be sorted.
+
+    ``needed``, if given, takes the least number of signatures that each set shares with any set similar to it.
+    """
     sizes = np.array([len(s) for s in sets], np.int64)
     out: list[tuple[np.ndarray, np.ndarray]] = []
     own = bands.of(np.maximum(sizes, 1))
@@ -99,13 +103,13 @@ def signatures(sets: list[np.ndarray], bands: Bands = BANDS) -> tuple[np.ndarray
         for level in range(LEVELS):
             if not len(todo):
                 break
-            todo = _level([sets[i] for i in todo], todo, tag[todo], level, bands, out)
+            todo = _level([sets[i] for i in todo], todo, tag[todo], level, bands, out, needed if not level else None)
     if not out:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     return np.concatenate([s for s, _ in out]), np.concatenate([i for _, i in out])
 
 
-def _level(sets: list[np.ndarray], index: np.ndarray, tag: np.ndarray, level: int, bands: Bands, out: list) -> np.ndarray:
+def _level(sets: list[np.ndarray], index: np.ndarray, tag: np.ndarray, level: int, bands: Bands, out: list, needed: np.ndarray | None) -> np.ndarray:
     """One partition's signatures; returns the sets that need another partition's, too."""
     if level:
         sets = [np.sort(mix(s ^ np.uint64(0x51ED * level))) for s in sets]
@@ -125,6 +129,11 @@ def _level(sets: list[np.ndarray], index: np.ndarray, tag: np.ndarray, level: in
     out.append((mix(sums[big] ^ mix(salt[doc[big]] + part[big].astype(np.uint64))), index[doc[big]]))
     filled = np.bincount(doc, minlength=len(sets))
     more = ~small & (parts - filled >= parts - k)
+    if needed is not None:
+        # The partner in this band that may differ most; all parts but k and the empty ones then agree.
+        other = np.where(bands.of(sizes) == tag, sizes * 100 // bands.percent, bands.low[tag + 1] - 1)
+        sure = parts - (sizes + other) * (100 - bands.percent) // (100 + bands.percent) - (parts - filled)
+        np.minimum.at(needed, index, np.where(small | more, 1, np.maximum(sure, 1)))
     if last and more.any():  # nothing better is left than signatures of empty parts
         for d in np.flatnonzero(more):
             gone = np.setdiff1d(np.arange(parts[d]), part[doc == d]).astype(np.uint64)
@@ -158,7 +167,9 @@ def deal(texts: pa.Array, buckets: int) -> pa.RecordBatch | None:
     if not classes:
         return None
     names = np.fromiter(classes, np.int64, len(classes)).tobytes()
-    sig, at = signatures(list(classes.values()))
+    needed = np.full(len(classes), 1 << 30)
+    sig, at = signatures(list(classes.values()), needed=needed)
+    needed = needed.astype(np.uint32).tobytes()
     bucket = ((sig >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
     bucket, sig, at = bucket[order], sig[order], at[order]
@@ -168,40 +179,47 @@ def deal(texts: pa.Array, buckets: int) -> pa.RecordBatch | None:
         return pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer((cut * v.dtype.itemsize).astype(np.int32).tobytes()), pa.py_buffer(v.tobytes())])
 
     columns = [column(sig.astype(np.uint32)), column((sig >> np.uint64(32)).astype(np.uint8)), column(at.astype(np.uint16 if len(classes) < 1 << 16 else np.uint32))]
-    return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]], pa.int32()), *columns, pa.array([names] * (len(cut) - 1), pa.binary())], ["bucket", "c0", "c1", "c2", "c3"])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]], pa.int32()), *columns, *(pa.array([x] * (len(cut) - 1), pa.binary()) for x in (names, needed))], ["bucket", "c0", "c1", "c2", "c3", "c4"])
 
 
-def _members(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, class), sorted and distinct, of the signatures that more than one class has."""
+def _members(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, class, what the class needs), sorted and distinct, of the signatures that more than one class has."""
     sig = unpack(group["c0"], "<u4").astype(np.uint64) | (unpack(group["c1"], "<u1").astype(np.uint64) << np.uint64(32))
     counts = lengths(group["c0"], 4)
     sizes = lengths(group["c3"], 8)
     places = group["c2"].to_pylist()
     at = np.concatenate([np.frombuffer(x, "<u4" if len(x) == 4 * n else "<u2").astype(np.int64) for x, n in zip(places, counts)])
-    names = unpack(group["c3"], "<i8")
-    node = names[at + np.repeat(np.cumsum(sizes) - sizes, counts)]
+    at += np.repeat(np.cumsum(sizes) - sizes, counts)
+    names, needed = unpack(group["c3"], "<i8"), unpack(group["c4"], "<u4")
     order = np.argsort(sig, kind="stable")
-    sig, node = sig[order], node[order]
-    same = sig[1:] == sig[:-1]
-    shared = np.concatenate((same, [False])) | np.concatenate(([False], same))
-    sig, node = sig[shared], node[shared]
-    order = np.lexsort((node, sig))
-    sig, node = sig[order], node[order]
+    sig, at = sig[order], at[order]
+    keep_shared = _repeated(sig)
+    sig, at = sig[keep_shared], at[keep_shared]
+    order = np.lexsort((names[at], sig))
+    sig, at = sig[order], at[order]
+    node = names[at]
     new = np.ones(len(sig), bool)
     new[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
-    sig, node = sig[new], node[new]
-    same = sig[1:] == sig[:-1]
-    shared = np.concatenate((same, [False])) | np.concatenate(([False], same)) if len(sig) else np.empty(0, bool)
-    return sig[shared], node[shared]
+    sig, node, at = sig[new], node[new], at[new]
+    keep_shared = _repeated(sig)
+    return sig[keep_shared], node[keep_shared], needed[at[keep_shared]]
+
+
+def _repeated(v: np.ndarray) -> np.ndarray:
+    """Of a sorted array, which entries have an equal neighbour."""
+    same = v[1:] == v[:-1]
+    return np.concatenate((same, [False]))[: len(v)] | np.concatenate(([False], same))[: len(v)]
 
 
 def _stars(group: pa.Table) -> pa.Table:
-    """Each class with the smallest that shares a signature: a, b, and how many such signatures."""
-    sig, node = _members(group)
+    """Each class b with the smallest class a that shares a signature, how many such signatures, and what b needs; a itself, too."""
+    sig, node, needed = _members(group)
     first = np.searchsorted(sig, sig)
-    pairs = np.stack([node[first], node], axis=1)[first != np.arange(len(sig))] if len(sig) else np.empty((0, 2), np.int64)
-    pairs, n = np.unique(pairs, axis=0, return_counts=True)
-    return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64()), "n": pa.array(n, pa.int64())})
+    order = np.lexsort((node, node[first]))
+    a, b, needed = node[first][order], node[order], needed[order]
+    new = np.flatnonzero((np.diff(a, prepend=0) != 0) | (np.diff(b, prepend=0) != 0) | (np.arange(len(a)) == 0))
+    n = np.diff(np.append(new, len(a)))
+    return pa.table({"a": pa.array(a[new], pa.int64()), "b": pa.array(b[new], pa.int64()), "n": pa.array(n, pa.int64()), "needed": pa.array(needed[new].astype(np.int64), pa.int64())})
 
 
 def buckets_for(docs: DataFrame) -> int:
@@ -217,7 +235,7 @@ def dealt(docs: DataFrame, buckets: int) -> DataFrame:
                 if (found := deal(texts, buckets)) is not None:
                     yield found
 
-    return docs.select("text").mapInArrow(run, schema(4))
+    return docs.select("text").mapInArrow(run, schema(5))
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -334,23 +352,29 @@ def unresolved(texts: DataFrame, comp: DataFrame) -> DataFrame:
 
 def class_links(docs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(links a, b between classes that connect all that is connected, node and comp of linked classes)."""
-    stars = dealt(docs, buckets_for(docs)).groupBy("bucket").applyInArrow(_stars, "a long, b long, n long")
-    stars = keep(stars.groupBy("a", "b").agg(F.sum("n").alias("n")), "star-pairs")
-    nodes = stars.select(F.col("a").alias("class")).union(stars.select("b")).distinct()
+    stars = dealt(docs, buckets_for(docs)).groupBy("bucket").applyInArrow(_stars, "a long, b long, n long, needed long")
+    stars = keep(stars.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("needed").alias("needed")), "star-pairs")
+    # A class that shares fewer signatures with all others together than with one similar class links with none.
+    enough = keep(stars.groupBy(F.col("b").alias("node")).agg(F.sum("n").alias("n"), F.max("needed").alias("needed")).where("n >= needed").select("node"), "enough")
+    stars = stars.where("a <> b").select("a", "b", "n").join(enough.select(F.col("node").alias("b")), "b", "left_semi")
+    stars = stars.join(enough.select(F.col("node").alias("a"), F.lit(True).alias("open")), "a", "left")
+    stars = keep(stars.select("a", "b", "n", F.coalesce("open", F.lit(False)).alias("open")), "pairs")
+    nodes = stars.where("open").select(F.col("a").alias("class")).union(stars.select("b")).distinct()
     carriers = members.join(nodes, "class").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     one = docs.select("doc_id", "text").join(carriers, "doc_id").select("class", "text")
     texts = keep(one, "candidate-texts")
-    best = stars.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
+    best = stars.where("open").groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
     links = keep(verified(best, texts), "links")
     comp = components(links)
-    rest = keep(with_components(stars.join(best, ["a", "b"], "left_anti"), comp, "a", "b").where("comp_a <> comp_b").select("a", "b"), "rest-pairs")
+    rest = keep(with_components(stars.where("open").join(best, ["a", "b"], "left_anti"), comp, "a", "b").where("comp_a <> comp_b").select("a", "b"), "rest-pairs")
     if rest.limit(1).count():
         links = keep(links.union(verified(rest, texts)), "links")
         comp = components(links)
-    # Pairs that neither link nor are connected otherwise: only around them can a link be missing.
-    apart = with_components(stars, comp, "a", "b").where("comp_a <> comp_b").select("a").distinct()
-    around = stars.join(apart, "a", "left_semi")
-    around = keep(around.select(F.col("a").alias("class")).union(around.select("b")).distinct(), "around")
+    # Where all that shares a signature with some class is connected, no link can be missing.
+    placed = with_components(stars, comp, "a", "b")
+    around = placed.select("a", "comp_b").union(placed.where("open").select("a", "comp_a")).groupBy("a").agg(F.min("comp_b").alias("low"), F.max("comp_b").alias("high")).where("low <> high").select("a")
+    around = stars.join(around, "a", "left_semi")
+    around = keep(around.where("open").select(F.col("a").alias("class")).union(around.select("b")).distinct(), "around")
     if around.limit(1).count():
         more = unresolved(texts.join(around, "class", "left_semi"), comp)
         more = keep(more.join(rest, ["a", "b"], "left_anti").join(best, ["a", "b"], "left_anti"), "across-pairs")

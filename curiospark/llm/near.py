@@ -16,7 +16,7 @@ Steps. Texts with equal sets are one class, by a 64-bit fingerprint of the set.
 buckets in packed form; of classes that share one, each is paired with the smallest. (2) Texts of the paired classes are
 compared in full: first each class with the partner that it shares most signatures with, then the pairs between
 different components. (3) Where classes that share a signature are still in different components, all pairs across these
-components are compared, the hopeless ones being told by parities of their shingles. So no link between different
+components are compared, the hopeless ones being told by parities of their shingles, and the closest first. So no link between different
 components is missed, and the work inside a component, of any size, is linear.
 
 Defined cases: null and empty texts, and texts without words, have an empty set and are linked with nothing; a text of
@@ -305,32 +305,39 @@ def parities(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.uint64)
 
 
-def _across(group: pa.Table) -> pa.Table:
-    """All pairs of one signature's classes that are of different components and aren't hopeless, block by block."""
-    percent = PERCENT
-    node, comp, size = (group[k].to_numpy() for k in ("node", "comp", "size"))
-    bits = np.frombuffer(b"".join(group["parity"].to_pylist()), np.uint64).reshape(len(node), -1)
-    a, b = [], []
-    for i in range(len(node)):
-        total = size[i] + size[i + 1 :]
-        ok = (comp[i + 1 :] != comp[i]) & (100 * np.minimum(size[i], size[i + 1 :]) >= percent * np.maximum(size[i], size[i + 1 :]))
-        j = np.flatnonzero(ok)
-        far = np.bitwise_count(bits[i] ^ bits[i + 1 :][j]).sum(axis=1)
-        j = j[far * (100 + percent) <= total[j] * (100 - percent)]
-        a += [node[i]] * len(j)
-        b += node[i + 1 :][j].tolist()
-    a, b = np.array(a, np.int64), np.array(b, np.int64)
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+def _across(width: int, percent: int = PERCENT):
+    """Of one block pair of a signature's classes: pairs of different components that aren't hopeless, each class with its ``width`` closest."""
 
+    def run(group: pa.Table) -> pa.Table:
+        node, comp, size, block = (group[k].to_numpy() for k in ("node", "comp", "size", "block"))
+        bits = np.frombuffer(b"".join(group["parity"].to_pylist()), np.uint64).reshape(len(node), -1)
+        crossed = group["x"][0].as_py() != group["y"][0].as_py()
+        pairs = [np.empty((2, 0), np.int64)]
+        for i in range(len(node)):
+            ok = (comp != comp[i]) & (100 * np.minimum(size[i], size) >= percent * np.maximum(size[i], size))
+            if crossed:
+                ok &= block != block[i]
+            j = np.flatnonzero(ok)
+            spare = (size[i] + size[j]) * (100 - percent) - np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1).astype(np.int64) * (100 + percent)
+            j, spare = j[spare >= 0], spare[spare >= 0]
+            j = j[np.lexsort((node[j], -spare))[:width]]
+            pairs.append(np.stack([np.full(len(j), node[i]), node[j]]))
+        found = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
+        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
 
-def unresolved(texts: DataFrame, comp: DataFrame) -> DataFrame:
-    """Candidate pairs a, b across components, of classes that share a signature. ``texts`` has class and text."""
+    return run
+
+
+BLOCK, ALL = 4096, 1 << 30
+
+
+def shared_signatures(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sig, node of the signatures that several classes have; node, size, parity). ``texts`` has class and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, part in slices(batch.column("text")):
-                sets = shingle_sets(part)
-                sig, at = signatures(sets)
+                sig, at = signatures(shingle_sets(part))
                 node = np.array(batch.column("class").slice(first, len(part)).to_pylist(), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(node[at])], ["sig", "node"])
 
@@ -340,14 +347,22 @@ def unresolved(texts: DataFrame, comp: DataFrame) -> DataFrame:
                 sets = shingle_sets(part)
                 yield pa.RecordBatch.from_arrays([batch.column("class").slice(first, len(part)), pa.array([len(s) for s in sets], pa.int64()), pa.array([parities(s).tobytes() for s in sets], pa.binary())], ["node", "size", "parity"])
 
-    rows = texts.select("class", "text").mapInArrow(run, "sig long, node long").distinct()
-    rows = keep(with_components(rows, comp, "node").withColumnRenamed("comp_node", "comp"), "signature-members")
-    mixed = rows.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("sig")
-    # Signatures of the same members ask the same: one of them is enough.
-    left = keep(rows.join(mixed, "sig"), "unresolved")
-    same = left.groupBy("sig").agg(F.count("*").alias("m"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who")).groupBy("m", "who").agg(F.min("sig").alias("sig")).select("sig")
-    sketches = texts.join(left.select(F.col("node").alias("class")).distinct(), "class", "left_semi").select("class", "text").mapInArrow(sketch, "node long, size long, parity binary")
-    return left.join(same, "sig").join(sketches, "node").groupBy("sig").applyInArrow(_across, "a long, b long").distinct()
+    texts = texts.select("class", "text")
+    rows = keep(texts.mapInArrow(run, "sig long, node long"), "signatures")
+    several = rows.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("sig")
+    return keep(rows.join(several, "sig").distinct(), "shared-signatures"), keep(texts.mapInArrow(sketch, "node long, size long, parity binary"), "sketches")
+
+
+def unresolved(rows: DataFrame, sketches: DataFrame, comp: DataFrame, width: int) -> DataFrame:
+    """Candidate pairs a, b across components, of classes that share a signature."""
+    rows = keep(with_components(rows, comp, "node").withColumnRenamed("comp_node", "comp"), "placed")
+    sums = rows.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("m"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who")).where("low <> high")
+    # Signatures of the same members ask the same: one of them is enough. Many members meet in pairs of blocks.
+    once = sums.groupBy("m", "who").agg(F.min("sig").alias("sig")).select("sig", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    met = rows.join(once, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("sig", "node", "comp", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+    return met.join(sketches, "node").groupBy("sig", "x", "y").applyInArrow(_across(width), "a long, b long").distinct()
 
 
 def class_links(docs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -376,11 +391,19 @@ def class_links(docs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFra
     around = stars.join(around, "a", "left_semi")
     around = keep(around.where("open").select(F.col("a").alias("class")).union(around.select("b")).distinct(), "around")
     if around.limit(1).count():
-        more = unresolved(texts.join(around, "class", "left_semi"), comp)
-        more = keep(more.join(rest, ["a", "b"], "left_anti").join(best, ["a", "b"], "left_anti"), "across-pairs")
-        if more.limit(1).count():
-            links = keep(links.union(verified(more, texts)), "links")
-            comp = components(links)
+        rows, sketches = shared_signatures(texts.join(around, "class", "left_semi"))
+        tested = keep(best.union(rest), "tested")
+        # Few partners of each class at first, as one link joins whole components; in the end, all.
+        width = 2
+        while True:
+            more = keep(unresolved(rows, sketches, comp, width).join(tested, ["a", "b"], "left_anti"), "across-pairs")
+            if more.limit(1).count():
+                links = keep(links.union(verified(more, texts)), "links")
+                comp, tested = components(links), keep(tested.union(more), "tested")
+            elif width < ALL:
+                width = ALL
+            else:
+                break
     return links, comp
 
 
@@ -396,7 +419,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     extra = keep(several.select("doc_id", "a").join(known, "doc_id").where("class <> a").select("a", F.col("class").alias("b")), "same-document")
     if extra.limit(1).count():
         comp = components(extra.union(comp.select(F.col("comp").alias("a"), F.col("node").alias("b"))))
-    labelled = with_components(members, comp, "class")
+    labelled = keep(with_components(members, comp, "class"), "labelled")
     smallest = labelled.where("class is not null").groupBy("comp_class").agg(F.min("doc_id").alias("first"))
     return labelled.join(smallest, "comp_class", "left").select("doc_id", "n_shingles", "class", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("first")).alias("component_id"))
 

@@ -21,7 +21,6 @@ import functools
 import itertools
 import json
 import re
-import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -31,36 +30,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .letters import LATIN, WHITE, byte_letters, class_of
 from .scan import slices
 from .shared import bounded_batches, table
-from .token_files import WHITE, load, tokenizer_path
+from .token_files import load, tokenizer_path
 
 END = "</w>"
 HELD_WORDS, HELD_PAIRS = 400_000, 1_000_000
 
 
-def byte_letters() -> dict[int, str]:
-    """The printable letter that stands for each byte in byte-level vocabularies."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    moved = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(moved)}
-
-
-def class_of(kind: str) -> str:
-    """A regular expression's class of all characters of a general category."""
-    marks = np.array([unicodedata.category(chr(c))[0] == kind for c in range(sys.maxunicode + 1)], np.int8)
-    edges = np.diff(np.concatenate(([0], marks, [0])))
-    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(np.flatnonzero(edges > 0), np.flatnonzero(edges < 0)))
-
-
 @functools.lru_cache(maxsize=1)
 def word_pattern() -> re.Pattern:
     letters, numbers = class_of("L"), class_of("N")
     return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{WHITE}{letters}{numbers}]+")
 
 
-#: Latin letters and general punctuation, on which all editions of Unicode agree.
-LATIN = re.compile("[\\x00-\u024f\u2010-\u2027\u20ac]*")
 ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 
 
@@ -153,8 +137,8 @@ class PrefixBpe:
                 out.append(piece)
             elif piece.isascii():
                 out += ASCII_WORD.findall(piece.lower())
-            elif LATIN.fullmatch(piece):
-                out += word_pattern().findall(unicodedata.normalize("NFC", piece).lower())
+            elif LATIN.fullmatch(lower := unicodedata.normalize("NFC", piece).lower()):
+                out += word_pattern().findall(lower)
             else:  # letters and cases that depend on the edition of Unicode: prepared by the library itself
                 prepared = self.library.normalizer.normalize_str(piece)
                 shown = self.library.pre_tokenizer.pre_tokenize_str(prepared)

@@ -108,13 +108,21 @@ class PrefixBpe:
         """The ids of a word, given as symbols."""
         n = len(symbols)
         last, size = [0] * (n + 1), [0] * (n + 1)
-        fit, at, done = self.fit, -1, True
+        known, at, done = self.fits.get, -1, True
         for end, (length, token) in self.automaton.iter(symbols):
             if end == at and done:
                 continue
             at = end
             begin = end + 1 - length
-            done = begin == 0 or bool(size[begin]) and fit(last[begin], token)
+            if begin == 0:
+                done = True
+            elif size[begin]:
+                before = last[begin]
+                done = known(before << 32 | token)
+                if done is None:
+                    done = self.fit(before, token)
+            else:
+                done = False
             if done:
                 last[end + 1], size[end + 1] = token, length
         ids = []

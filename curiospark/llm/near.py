@@ -296,43 +296,58 @@ def with_components(frame: DataFrame, comp: DataFrame, *columns: str) -> DataFra
     return frame
 
 
-PARITY = 2048
+BLOCK, ALL, ROWS = 4096, 1 << 30, 50_000
 
 
-def parities(s: np.ndarray) -> np.ndarray:
-    """PARITY bits: bit i is the parity of how many members fall to i. Two sets differ in at least as many members as bits."""
-    bits = np.bincount((mix(s) % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.uint64)
+def parities(s: np.ndarray) -> bytes:
+    """Bits, a power of two and at least twice as many as members: bit i is the parity of how many members fall to i."""
+    n = max(512, 1 << (2 * len(s) - 1).bit_length())
+    return np.packbits((np.bincount((mix(s) & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1).astype(np.uint8)).tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """Two sets differ in at least so many members as their parities; the longer row is folded to the shorter."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    if len(x) < len(y):
+        x, y = y, x
+    return int(np.bitwise_count(np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0) ^ y).sum())
 
 
 def _across(width: int, percent: int = PERCENT):
-    """Of one block pair of a signature's classes: pairs of different components that aren't hopeless, each class with its ``width`` closest."""
+    """Pairs of classes of different components that aren't hopeless, by signature and block pair: each class with its ``width`` closest."""
 
     def run(group: pa.Table) -> pa.Table:
-        node, comp, size, block = (group[k].to_numpy() for k in ("node", "comp", "size", "block"))
-        bits = np.frombuffer(b"".join(group["parity"].to_pylist()), np.uint64).reshape(len(node), -1)
-        crossed = group["x"][0].as_py() != group["y"][0].as_py()
-        pairs = [np.empty((2, 0), np.int64)]
-        for i in range(len(node)):
-            ok = (comp != comp[i]) & (100 * np.minimum(size[i], size) >= percent * np.maximum(size[i], size))
-            if crossed:
-                ok &= block != block[i]
-            j = np.flatnonzero(ok)
-            spare = (size[i] + size[j]) * (100 - percent) - np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1).astype(np.int64) * (100 + percent)
-            j, spare = j[spare >= 0], spare[spare >= 0]
-            j = j[np.lexsort((node[j], -spare))[:width]]
-            pairs.append(np.stack([np.full(len(j), node[i]), node[j]]))
-        found = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
-        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
+        sig, x, y, node, comp, size, block = (group[k].to_numpy() for k in ("sig", "x", "y", "node", "comp", "size", "block"))
+        order = np.lexsort((node, y, x, sig))
+        sig, x, y, node, comp, size, block = (v[order] for v in (sig, x, y, node, comp, size, block))
+        bits = group["parity"].take(pa.array(order)).to_pylist()
+        first = np.flatnonzero((np.diff(sig, prepend=sig[0] - 1) != 0) | (np.diff(x, prepend=-1) != 0) | (np.diff(y, prepend=-1) != 0))
+        known: dict[tuple[int, int], int] = {}
+        found = set()
+        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(sig)]):
+            crossed = x[a] != y[a]
+            for i in range(a, b):
+                ok = (comp[a:b] != comp[i]) & (100 * np.minimum(size[i], size[a:b]) >= percent * np.maximum(size[i], size[a:b]))
+                if crossed:
+                    ok &= block[a:b] != block[i]
+                close = []
+                for j in (np.flatnonzero(ok) + a).tolist():
+                    pair = (int(node[min(i, j)]), int(node[max(i, j)]))
+                    spare = known.get(pair)
+                    if spare is None:
+                        total = int(size[i] + size[j])
+                        spare = known[pair] = total * (100 - percent) - least_difference(bits[i], bits[j]) * (100 + percent)
+                    if spare >= 0:
+                        close.append((-spare, pair))
+                found.update(p for _, p in sorted(close)[:width])
+        pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
     return run
 
 
-BLOCK, ALL = 4096, 1 << 30
-
-
 def shared_signatures(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sig, node of the signatures that several classes have; node, size, parity). ``texts`` has class and text."""
+    """(sig, node of the signatures that several classes have; node, size, needed, parity). ``texts`` has class and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -345,24 +360,33 @@ def shared_signatures(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
         for batch in batches:
             for first, part in slices(batch.column("text")):
                 sets = shingle_sets(part)
-                yield pa.RecordBatch.from_arrays([batch.column("class").slice(first, len(part)), pa.array([len(s) for s in sets], pa.int64()), pa.array([parities(s).tobytes() for s in sets], pa.binary())], ["node", "size", "parity"])
+                needed = np.full(len(sets), 1 << 30)
+                signatures(sets, needed=needed)
+                yield pa.RecordBatch.from_arrays([batch.column("class").slice(first, len(part)), pa.array([len(s) for s in sets], pa.int64()), pa.array(needed, pa.int64()), pa.array([parities(s) for s in sets], pa.binary())], ["node", "size", "needed", "parity"])
 
     texts = texts.select("class", "text")
     rows = keep(texts.mapInArrow(run, "sig long, node long"), "signatures")
     several = rows.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("sig")
-    return keep(rows.join(several, "sig").distinct(), "shared-signatures"), keep(texts.mapInArrow(sketch, "node long, size long, parity binary"), "sketches")
+    return keep(rows.join(several, "sig").distinct(), "shared-signatures"), keep(texts.mapInArrow(sketch, "node long, size long, needed long, parity binary"), "sketches")
 
 
 def unresolved(rows: DataFrame, sketches: DataFrame, comp: DataFrame, width: int) -> DataFrame:
     """Candidate pairs a, b across components, of classes that share a signature."""
     rows = keep(with_components(rows, comp, "node").withColumnRenamed("comp_node", "comp"), "placed")
+    for _ in range(2):  # a class that shares too few signatures with other components links with none of them
+        mixed = rows.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("sig")
+        rows = rows.join(mixed, "sig")
+        enough = rows.groupBy("node").agg(F.count("*").alias("n")).join(sketches.select("node", "needed"), "node").where("n >= needed").select("node")
+        rows = keep(rows.join(enough, "node"), "mixed")
     sums = rows.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("m"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who")).where("low <> high")
     # Signatures of the same members ask the same: one of them is enough. Many members meet in pairs of blocks.
     once = sums.groupBy("m", "who").agg(F.min("sig").alias("sig")).select("sig", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
     met = rows.join(once, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("sig", "node", "comp", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
-    return met.join(sketches, "node").groupBy("sig", "x", "y").applyInArrow(_across(width), "a long, b long").distinct()
+    met = keep(met.select("sig", "node", "comp", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")), "met")
+    groups = max(1, met.count() // ROWS)
+    met = met.join(sketches.drop("needed"), "node").withColumn("deal", F.pmod(F.xxhash64("sig", "x", "y"), F.lit(groups)))
+    return met.groupBy("deal").applyInArrow(_across(width), "a long, b long").distinct()
 
 
 def class_links(docs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -14,6 +14,7 @@ as null; repeated ids keep all their rows, next to each other; an empty table gi
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import re
 import struct
@@ -29,13 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .files import create, fresh_folder, random_access, task_file
-from .letters import LATIN, WHITE, byte_letters, class_of
+from .letters import WHITE
 from .scan import slices
 from .shared import bounded_batches, keep, table
 from .warc import spread
 
 END_ID = 2
-HELD = 700_000
+HELD = 1_000_000
 #: Spaces and the word after them: no pre-token of a byte-level tokenizer reaches over such a part's ends.
 PART = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
@@ -64,34 +65,14 @@ class Encoder:
         self.tokenizer = load(path)
         self.added = re.compile("(" + "|".join(re.escape(x.content) for x in self.tokenizer.get_added_tokens_decoder().values()) + ")")
         self.has_added = self.added.groups and bool(self.tokenizer.get_added_tokens_decoder())
-        self.letters = str.maketrans({chr(b): x for b, x in byte_letters().items()})
-        letters, numbers = class_of("L"), class_of("N")
-        #: The byte-level pre-tokenizer's expression.
-        self.pre_token = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{WHITE}{letters}{numbers}]+|[{WHITE}]+(?=[{WHITE}]|$)|[{WHITE}]+")
         self.wide = self.tokenizer.get_vocab_size(True) > 1 << 16
-        self.model = self.tokenizer.model
-        self.special = {x.content for x in self.tokenizer.get_added_tokens_decoder().values()}
         self.forget()
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.pieces: dict[str, list[int]] = {}
         self.flat = [np.empty(0, np.uint32)]
         self.sizes = [np.empty(0, np.int64)]
 
-    def part(self, part: str) -> list[int]:
-        """The ids of a part: the library's model on each pre-token, or the whole library where a part has other letters."""
-        if not LATIN.fullmatch(part) or part in self.special:
-            return self.tokenizer.encode(part, add_special_tokens=False).ids
-        out: list[int] = []
-        for word in self.pre_token.findall(part):
-            ids = self.pieces.get(word)
-            if ids is None:
-                shown = word.encode().decode("latin-1").translate(self.letters)
-                ids = self.pieces[word] = [t.id for t in self.model.tokenize(shown)]
-            out += ids
-        return out
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, end to end, and where each one's begin (one more than there are texts)."""
         parts, counts = [], []
@@ -104,9 +85,9 @@ class Encoder:
             counts.append(len(own))
         if len(self.place) > HELD:
             self.forget()
-        new = [p for p in dict.fromkeys(parts) if p not in self.place]
+        new = list(set(parts).difference(self.place))
         if new:
-            got = list(map(self.part, new))
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
             sizes = np.fromiter(map(len, got), np.int64, len(got))
             flat = np.fromiter(chain.from_iterable(got), np.uint32, int(sizes.sum()))
@@ -159,6 +140,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = END_ID) ->
     folder = fresh_folder(spark, "tokens")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # the cache is large and has no cycles
         own, path, out, at, tokens, offsets = encoder(tokenizer), task_file(folder, ".tok"), None, 0, 0, []
         kind = "<u4" if own.wide or end_id > 0xFFFF else "<u2"
         for batch in batches:

@@ -305,43 +305,44 @@ def parities(s: np.ndarray) -> bytes:
     return np.packbits((np.bincount((mix(s) & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1).astype(np.uint8)).tobytes()
 
 
-def least_difference(a: bytes, b: bytes) -> int:
-    """Two sets differ in at least so many members as their parities; the longer row is folded to the shorter."""
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    if len(x) < len(y):
-        x, y = y, x
-    return int(np.bitwise_count(np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0) ^ y).sum())
+def folded(rows: list[bytes]) -> np.ndarray:
+    """Parities as a matrix, all folded to the shortest: two sets differ in at least as many members as their rows in bits."""
+    least = min(map(len, rows))
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(r, np.uint64).reshape(-1, least // 8), axis=0) for r in rows])
 
 
 def _across(width: int, percent: int = PERCENT):
-    """Pairs of classes of different components that aren't hopeless, by signature and block pair: each class with its ``width`` closest."""
+    """Pairs of classes of different components that aren't hopeless, by signature and block pair: each class with its ``width`` closest.
+
+    Every such pair has a member outside the largest component there, so only those members look for partners.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         sig, x, y, node, comp, size, block = (group[k].to_numpy() for k in ("sig", "x", "y", "node", "comp", "size", "block"))
-        order = np.lexsort((node, y, x, sig))
+        order = np.lexsort((node, comp, y, x, sig))
         sig, x, y, node, comp, size, block = (v[order] for v in (sig, x, y, node, comp, size, block))
-        bits = group["parity"].take(pa.array(order)).to_pylist()
+        bits = group["parity"].combine_chunks()
         first = np.flatnonzero((np.diff(sig, prepend=sig[0] - 1) != 0) | (np.diff(x, prepend=-1) != 0) | (np.diff(y, prepend=-1) != 0))
-        known: dict[tuple[int, int], int] = {}
-        found = set()
+        pairs = [np.empty((2, 0), np.int64)]
         for a, b in zip(first.tolist(), [*first[1:].tolist(), len(sig)]):
-            crossed = x[a] != y[a]
-            for i in range(a, b):
-                ok = (comp[a:b] != comp[i]) & (100 * np.minimum(size[i], size[a:b]) >= percent * np.maximum(size[i], size[a:b]))
-                if crossed:
-                    ok &= block[a:b] != block[i]
-                close = []
-                for j in (np.flatnonzero(ok) + a).tolist():
-                    pair = (int(node[min(i, j)]), int(node[max(i, j)]))
-                    spare = known.get(pair)
-                    if spare is None:
-                        total = int(size[i] + size[j])
-                        spare = known[pair] = total * (100 - percent) - least_difference(bits[i], bits[j]) * (100 + percent)
-                    if spare >= 0:
-                        close.append((-spare, pair))
-                found.update(p for _, p in sorted(close)[:width])
-        pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+            own, n, where = comp[a:b], size[a:b], node[a:b]
+            names, counts = np.unique(own, return_counts=True)
+            if len(names) < 2:
+                continue
+            rows = folded([bits[int(k)].as_py() for k in order[a:b]])
+            for i in np.flatnonzero(own != names[counts.argmax()]).tolist():
+                ok = (own != own[i]) & (100 * np.minimum(n[i], n) >= percent * np.maximum(n[i], n))
+                if x[a] != y[a]:
+                    ok &= block[a:b] != block[a + i]
+                j = np.flatnonzero(ok)
+                spare = (n[i] + n[j]) * (100 - percent) - np.bitwise_count(rows[i] ^ rows[j]).sum(axis=1).astype(np.int64) * (100 + percent)
+                j, spare = j[spare >= 0], spare[spare >= 0]
+                j = j[np.lexsort((where[j], -spare))[:width]]
+                pairs.append(np.stack([np.full(len(j), where[i]), where[j]]))
+            if len(pairs) > 4096:
+                pairs = [np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)]
+        found = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
+        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
 
     return run
 
@@ -373,11 +374,11 @@ def shared_signatures(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
 def unresolved(rows: DataFrame, sketches: DataFrame, comp: DataFrame, width: int) -> DataFrame:
     """Candidate pairs a, b across components, of classes that share a signature."""
     rows = keep(with_components(rows, comp, "node").withColumnRenamed("comp_node", "comp"), "placed")
-    for _ in range(2):  # a class that shares too few signatures with other components links with none of them
-        mixed = rows.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("sig")
-        rows = rows.join(mixed, "sig")
-        enough = rows.groupBy("node").agg(F.count("*").alias("n")).join(sketches.select("node", "needed"), "node").where("n >= needed").select("node")
-        rows = keep(rows.join(enough, "node"), "mixed")
+    # A class that shares too few signatures with classes of other components links with none of them.
+    mixed = rows.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("sig")
+    rows = rows.join(mixed, "sig")
+    enough = rows.groupBy("node").agg(F.count("*").alias("n")).join(sketches.select("node", "needed"), "node").where("n >= needed").select("node")
+    rows = keep(rows.join(enough, "node"), "mixed")
     sums = rows.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("m"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who")).where("low <> high")
     # Signatures of the same members ask the same: one of them is enough. Many members meet in pairs of blocks.
     once = sums.groupBy("m", "who").agg(F.min("sig").alias("sig")).select("sig", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
@@ -417,17 +418,12 @@ def class_links(docs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFra
     if around.limit(1).count():
         rows, sketches = shared_signatures(texts.join(around, "class", "left_semi"))
         tested = keep(best.union(rest), "tested")
-        # Few partners of each class at first, as one link joins whole components; in the end, all.
-        width = 2
-        while True:
+        # Few partners of each class at first, as one link joins whole components; then, all that are left.
+        for width in (2, ALL):
             more = keep(unresolved(rows, sketches, comp, width).join(tested, ["a", "b"], "left_anti"), "across-pairs")
             if more.limit(1).count():
                 links = keep(links.union(verified(more, texts)), "links")
                 comp, tested = components(links), keep(tested.union(more), "tested")
-            elif width < ALL:
-                width = ALL
-            else:
-                break
     return links, comp
 
 

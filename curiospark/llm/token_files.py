@@ -36,7 +36,7 @@ from .shared import bounded_batches, keep, table
 from .warc import spread
 
 END_ID = 2
-HELD = 1_000_000
+HELD = 1_600_000
 #: Spaces and the word after them: no pre-token of a byte-level tokenizer reaches over such a part's ends.
 PART = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 

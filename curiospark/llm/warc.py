@@ -1,4 +1,4 @@
-"""WARC archives: written from a page table, read back as a chunked record table.
+"""WARC archives, a gzip member for each record: written from a page table, read back as a chunked record table.
 
 ``write_archives`` streams one archive per task into the shared folder; ``read_chunks`` streams the
 archives into rows (record, chunk number), each with the digest and length of the payload so far, so
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -31,6 +32,7 @@ EOL = b"\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEAST_BYTES = 100
 CHUNK_BYTES = 1 << 20
+GZIP = 31
 DATE = "2020-01-01T00:00:00Z"
 CHUNKS = "record_id string, page_id long, record_type string, refers_to long, chunk long, last boolean, chunk_bytes long, payload_bytes long, payload_digest string, intact boolean"
 
@@ -72,17 +74,18 @@ def write_archives(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
     folder = fresh_folder(spark, "warc")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path, out, n = task_file(folder, ".warc"), None, 0
+        path, out, n = task_file(folder, ".warc.gz"), None, 0
         for batch in batches:
             ids, urls, digests, refers = (batch.column(k).to_pylist() for k in ("page_id", "url", "payload_digest", "refers_to"))
             payloads = batch.column("payload")
             for k in range(len(ids)):
                 out = out or create(path)
                 head, body = _record(ids[k], urls[k], payloads[k].as_buffer(), digests[k], refers[k])
-                for at in range(0, len(body) or 1, CHUNK_BYTES):
-                    out.write(head if not at else b"")
-                    out.write(body[at : at + CHUNK_BYTES])
-                out.write(EOL + EOL)
+                member = zlib.compressobj(2, wbits=GZIP)
+                out.write(member.compress(head))
+                for at in range(0, len(body), CHUNK_BYTES):
+                    out.write(member.compress(body[at : at + CHUNK_BYTES]))
+                out.write(member.compress(EOL + EOL) + member.flush())
                 n += 1
         if out:
             out.close()
@@ -91,6 +94,25 @@ def write_archives(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
     return keep(with_revisits(pages, least).mapInArrow(write, "path string, records long"), "warc-manifest")
 
 
+class _Members:
+    """What the gzip members of a stream hold, at most 64 KB at a time."""
+
+    def __init__(self, source):
+        self.source, self.left, self.member = source, b"", zlib.decompressobj(GZIP)
+
+    def read(self, _: int) -> bytes:
+        while True:
+            if self.member.eof:
+                self.left, self.member = self.member.unused_data, zlib.decompressobj(GZIP)
+            self.left = self.left or self.source.read(1 << 16)
+            if not self.left:
+                return b""
+            found = self.member.decompress(self.left, 1 << 16)
+            self.left = self.member.unconsumed_tail
+            if found:
+                return found
+
+
 class _Reader:
     """Lines and byte ranges of a stream, by a bounded buffer."""
 
@@ -120,7 +142,7 @@ class _Reader:
 
 def parse(source, chunk_bytes: int = CHUNK_BYTES, data: bool = False) -> Iterator[tuple]:
     """The rows of CHUNKS (and the chunk's bytes) of one archive."""
-    reader = _Reader(source)
+    reader = _Reader(_Members(source))
     while (line := reader.line()) is not None:
         if not line:
             continue

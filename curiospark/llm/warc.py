@@ -106,7 +106,7 @@ class _Members:
                 self.left, self.member = self.member.unused_data, zlib.decompressobj(GZIP)
             self.left = self.left or self.source.read(1 << 16)
             if not self.left:
-                return b""
+                return self.member.decompress(b"", 1 << 16)
             found = self.member.decompress(self.left, 1 << 16)
             self.left = self.member.unconsumed_tail
             if found:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import parsers
 from ..functions import text as T
 from ..operators import metrics, profiles, ranked
 from ..sources.nodes import CONVERSATION_TEXTS_SQL, DOCUMENT_NODES_SQL, LINE_NODES_SQL, ORDER_TREE_SQL, PART_NODES_SQL, conversation_texts, document_nodes, line_nodes, order_tree, part_nodes
+from ..streaming import events
 
 FIELDS = ("p_name", "p_type", "p_size", "p_retailprice")
 
@@ -144,13 +146,37 @@ def link_census(spark, sf_dir):
     return counts.join(ranked.nearest_quantile(orders, keys, "price", 9, "q90"), keys)
 
 
+def parsed_prices(spark, sf_dir):
+    """Prices written in seven ways, read back."""
+    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.expr(f"{_PRICE} AS raw"))
+    return lines.withColumn("m", parsers.money(F.col("raw"))).groupBy("raw").agg(F.count("*").alias("n"), F.first("m").alias("m")).select("raw", "n", "m.currency_system", "m.normalised_pence")
+
+
+def parsed_counts(spark, sf_dir):
+    lines = _table(spark, sf_dir, "lineitem").select(F.expr(f"{_COUNT} AS raw")).groupBy("raw").agg(F.count("*").alias("n"))
+    parts = lines.withColumn("c", parsers.counts(F.col("raw")))
+    return parts.select("raw", "n", F.size("c").alias("parts"), F.col("c")[0]["count"].alias("first"), F.col("c")[1]["range_hi"].alias("second_hi"), F.col("c")[1]["noun"].alias("noun"))
+
+
+def event_windows(spark, sf_dir):
+    counts = events.windowed_counts(_table(spark, sf_dir, "events"))
+    return counts.select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n", F.round("total", 6).alias("total"))
+
+
+# These two expressions run in both dialects.
+_Q = "CAST(CAST(l_quantity AS INT) AS VARCHAR(9))"
+_N = "CAST(l_linenumber AS VARCHAR(9))"
+_PRICE = f"""CASE l_linenumber WHEN 1 THEN concat('£', {_Q}, '.50') WHEN 2 THEN concat({_Q}, ' guineas') WHEN 3 THEN concat('£', {_Q}, '/10/-')
+  WHEN 4 THEN concat('[', {_Q}, '/6]') WHEN 5 THEN concat({_Q}, 's 6d for set') WHEN 6 THEN concat({_Q}, ' pounds') ELSE concat({_Q}, '/- and 3/6 for 7') END"""
+_COUNT = f"concat({_Q}, ' + ', {_N}, '-', {_Q}, ' fragments')"
+
 QUERIES = {
     f.__name__: f
     for f in (
         importance_weights, completeness_ratios, provenance, field_frequency_profile, pareto_summary, field_vocabulary, fragmentation, term_weights,
         text_coherence, thinness, decomposition_cells, decomposition, pattern_counts, pattern_widths, pattern_concentration, pattern_consistency,
         consensus_home, conflation, source_divergence, variance_share, normalised_terms, best_proposals, ancestors, order_islands, false_discovery,
-        threshold_sweep, link_census,
+        threshold_sweep, link_census, parsed_prices, parsed_counts, event_windows,
     )
 }
 
@@ -268,6 +294,13 @@ SELECT score, n, hits, round(hits / n, 9) AS precision,
     "link_census": """WITH s AS (SELECT o_orderpriority, o_orderstatus, count(*) AS n, count(DISTINCT o_custkey) AS customers, list(CAST(floor(o_totalprice) AS BIGINT) ORDER BY floor(o_totalprice)) AS l FROM orders GROUP BY 1, 2)
 SELECT o_orderpriority, o_orderstatus, n, customers, l[(9 * (len(l) - 1) + 5) // 10 + 1] AS q90 FROM s""",
 }
+ORACLE_SQL["parsed_prices"] = f"""WITH l AS (SELECT l_linenumber AS k, CAST(l_quantity AS INT) AS q, {_PRICE} AS raw FROM lineitem)
+SELECT raw, count(*) AS n, any_value(CASE WHEN k IN (1, 6) THEN 'gbp_decimal' WHEN k = 2 THEN 'gbp_guinea' WHEN k IN (3, 4, 5) THEN 'gbp_lsd' END) AS currency_system,
+  any_value(CAST(CASE k WHEN 1 THEN 100 * q + 50 WHEN 2 THEN 252 * q WHEN 3 THEN 240 * q + 120 WHEN 4 THEN 12 * q + 6 WHEN 5 THEN 12 * q + 6 WHEN 6 THEN 100 * q END AS BIGINT)) AS normalised_pence FROM l GROUP BY raw"""
+ORACLE_SQL["parsed_counts"] = f"""WITH l AS (SELECT l_linenumber AS k, CAST(l_quantity AS BIGINT) AS q, {_COUNT} AS raw FROM lineitem)
+SELECT raw, count(*) AS n, any_value(CASE WHEN k <= q THEN 2 END) AS parts, any_value(CASE WHEN k <= q THEN q END) AS "first", any_value(CASE WHEN k <= q THEN q END) AS second_hi,
+  any_value(CASE WHEN k <= q THEN 'fragments' END) AS noun FROM l GROUP BY raw"""
+ORACLE_SQL["event_windows"] = """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY 1, 2"""
 
 
 def _provenance_sql() -> str:

@@ -1,6 +1,5 @@
-import math
-
 import duckdb
+import pandas as pd
 import pytest
 
 from curiospark.plans import profile_queries, queries
@@ -13,7 +12,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 def plain(value):
     """Numbers by value, so that an integer column with nulls equals itself."""
-    if value is None or (isinstance(value, float) and math.isnan(value)):
+    if pd.isna(value):
         return None
     return float(value) if isinstance(value, int | float) else value
 

@@ -121,10 +121,9 @@ def overlaid_terms(spark, sf_dir):
 
 
 def fuzzy_terms(spark, sf_dir):
-    """Part names with a letter lost or doubled, against all names with numbers."""
-    names = _table(spark, sf_dir, "part").select(F.expr("concat(p_name, ' ', p_type, ' ', p_size)").alias("norm"))
-    spoilt = names.select(F.expr("CASE length(norm) % 3 WHEN 0 THEN concat(substring(norm, 1, 4), substring(norm, 6)) WHEN 1 THEN concat(substring(norm, 1, 7), substring(norm, 7)) ELSE norm END").alias("norm"))
-    return rounded(alignment.fuzzy_join(spoilt, names))
+    """Words of the documents that are near, but seldom equal, to words of the benchmark."""
+    words = lambda name: _table(spark, sf_dir, name).select(F.explode(F.split(T.fold(F.col("text")), " ")).alias("norm")).where(F.length("norm") > 4)
+    return rounded(alignment.fuzzy_join(words("documents"), words("benchmark"), 85))
 
 
 def overlapping_spans(spark, sf_dir):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean
+from ..functions import dates as dated
 from ..functions import text as T
 from ..operators import alignment, compile, statistics
 from ..sources.nodes import ORDER_TREE_SQL, PART_NODES_SQL, order_tree, part_nodes
@@ -205,7 +206,16 @@ def value_examples(spark, sf_dir):
     return statistics.examples(_table(spark, sf_dir, "part"), ["p_brand"], "p_name").withColumn("examples", F.array_join("examples", "|"))
 
 
+def parsed_dates(spark, sf_dir):
+    """Order dates written in five ways and one that can't be read, read back."""
+    raw = _table(spark, sf_dir, "orders").groupBy(F.expr(_DATE).alias("raw")).agg(F.count("*").alias("n"))
+    return raw.withColumn("d", dated.dates(F.col("raw"))).select("raw", "n", "d.value_edtf", "d.date_earliest_single", "d.date_latest", "d.ambiguous")
+
+
 # These expressions run in both dialects.
+_DATE = """CASE o_orderkey % 6 WHEN 0 THEN concat(day(o_orderdate), '/', month(o_orderdate), '/', year(o_orderdate)) WHEN 1 THEN concat('c. ', year(o_orderdate))
+  WHEN 2 THEN concat('before ', year(o_orderdate)) WHEN 3 THEN concat(year(o_orderdate), ' - ', year(o_orderdate) + 3)
+  WHEN 4 THEN concat('early ', month(o_orderdate) + 8, 'th century') ELSE concat('lot ', day(o_orderdate)) END"""
 _DIRTY = """CASE WHEN field_type <> 'p_name' THEN value WHEN CAST(record_id AS INT) % 5 = 0 THEN 'Unknown' WHEN CAST(record_id AS INT) % 5 = 1 THEN 'P Name'
   WHEN CAST(record_id AS INT) % 5 = 2 THEN concat(value, ' ;') WHEN CAST(record_id AS INT) % 5 = 3 THEN concat('<i>', value, '</i> &amp; more') ELSE 'title:' END"""
 _SPELT = "CASE p_partkey % 5 WHEN 0 THEN upper(p_name) WHEN 1 THEN concat(p_name, ' (old)') WHEN 2 THEN concat(p_name, 's') WHEN 3 THEN concat('x ', p_name) ELSE p_name END"
@@ -216,7 +226,7 @@ QUERIES = {
         plain_pages, question_uses, merged_proposals, disposition_census, post_conditions, base_values, inlined_groups, transferred, unanimous_flags,
         repeated_statements, reused_titles, check_failures, resolved_terms, cascaded_terms, overlaid_terms, fuzzy_terms, overlapping_spans, prefix_matches,
         coverage_queue, balance_histogram, measure_spread, chi_square, kolmogorov_smirnov, spearman, agreement, paired_change, field_association,
-        coverage_steps, binomial_tails, mcnemar, balanced_sample, value_examples,
+        coverage_steps, binomial_tails, mcnemar, balanced_sample, value_examples, parsed_dates,
     )
 }
 
@@ -247,6 +257,12 @@ _NOTHING = ", ".join(f"'{x}'" for x in clean.NOTHING)
 _SAYS = lambda c: f"coalesce({_NORM.format(c)} IN ({_NOTHING}, 'mm', 'cm', 'in', 'kg', 'g') OR regexp_matches({c}, '^[A-Za-z ]{{1,30}}:$'), false)"
 
 ORACLE_SQL = {
+    "parsed_dates": f"""WITH r AS (SELECT o_orderkey % 6 AS k, {_DATE} AS raw, year(o_orderdate) AS y, month(o_orderdate) AS m, day(o_orderdate) AS d FROM orders),
+v AS (SELECT raw, k, count(*) AS n, min(y) AS y, min(m) AS m, min(d) AS d FROM r GROUP BY 1, 2), s AS (SELECT *, printf('%04d-%02d-%02d', y, m, d) AS iso, 100 * (m + 7) AS lo FROM v)
+SELECT raw, n, CASE k WHEN 0 THEN iso WHEN 1 THEN y || '~' WHEN 2 THEN '../' || y WHEN 3 THEN y || '/' || (y + 3) WHEN 4 THEN printf('%04d/%04d', lo, lo + 32) END AS value_edtf,
+  CASE k WHEN 0 THEN iso WHEN 1 THEN CAST(y AS VARCHAR) WHEN 3 THEN CAST(y AS VARCHAR) WHEN 4 THEN printf('%04d', lo) END AS date_earliest_single,
+  CASE k WHEN 2 THEN CAST(y AS VARCHAR) WHEN 3 THEN CAST(y + 3 AS VARCHAR) WHEN 4 THEN printf('%04d', lo + 32) END AS date_latest,
+  CASE WHEN k < 5 THEN k = 0 AND m <= 12 AND d <= 12 AND m <> d END AS ambiguous FROM s""",
     "plain_pages": f"SELECT page_id, md5({_plain('html')}) AS digest, CAST(length({_plain('html')}) AS INT) AS n_chars FROM pages",
     "question_uses": r"""SELECT role, CASE WHEN contains(text, '?') THEN CASE WHEN regexp_matches(text, '(?i)https?://|www\.') THEN 'link' WHEN regexp_matches(text, '[A-Za-z]+(\s+[A-Za-z]+){3,}\?') THEN 'sentence'
   WHEN regexp_matches(text, '\w\?\w') THEN 'mid_value' ELSE 'doubt' END END AS use, count(*) AS n FROM conversations GROUP BY 1, 2""",

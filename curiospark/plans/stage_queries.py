@@ -124,7 +124,7 @@ def overlaid_terms(spark, sf_dir):
 def fuzzy_terms(spark, sf_dir):
     """Words of the documents that are near, but seldom equal, to words of the benchmark."""
     words = lambda name: _table(spark, sf_dir, name).select(F.explode(F.split(T.fold(F.col("text")), " ")).alias("norm")).where(F.length("norm") > 4)
-    return rounded(alignment.fuzzy_join(words("documents"), words("benchmark"), 85))
+    return rounded(alignment.fuzzy_join(words("documents"), words("benchmark")))
 
 
 def overlapping_spans(spark, sf_dir):

@@ -1,11 +1,13 @@
 """License scans: a trained paragraph classifier, by DataFrame functions alone.
 
-Paragraphs are lines. Features are words and word pairs of the license notices below; a sparse multinomial
-logistic regression over them, fitted on the driver from the notices, variations of them and near misses, gives each
+Paragraphs are lines; a notice may be wrapped over up to ``SPAN`` lines without a blank one between them, and counts as one then, at its
+first line. Features are words and word pairs of the license notices and wordings below; a sparse multinomial
+logistic regression over them, fitted on the driver from these, variations of them and near misses, gives each
 paragraph's family. The unknown class is calibrated: a family counts only where its probability exceeds the highest one
-that any near miss got when it was left out of the fit, plus a margin. A prediction is confirmed by comparison with the family's
-templates: enough of one notice's word pairs must be in the paragraph. A paragraph with fewer than two
-words of the vocabulary is left unknown beforehand, as its score could only be.
+that any near miss got when it was left out of the fit, plus a margin. Such a prediction is confirmed by comparison with the family's
+templates: enough of one notice's word pairs must be in the paragraph. At any probability, the likeliest family counts if the paragraph
+declares it by one of its names: after a verb of licensing, as an SPDX id, after "License", or as a title. A paragraph with fewer than two
+words of the vocabulary is left unknown beforehand, as its score could only be. A paragraph gets one family.
 
 Every text is handled within its own row, by functions over arrays: nothing is exploded or shuffled, and the
 expression's size depends on the notices only.
@@ -17,6 +19,7 @@ rows with equal ids are scanned each on its own; other columns are ignored.
 from __future__ import annotations
 
 import functools
+import json
 import re
 
 import numpy as np
@@ -50,6 +53,38 @@ NEAR_MISSES = (
     "Version 3 of the document was published", "The file is licensed to nobody in particular", "See the license for details", "Copyright law is general and public",
     "The Mozilla foundation met in public", "The terms of the agreement are confidential", "International attribution of the painting was disputed",
 )
+#: Names by which wordings declare a family, for the fit, and the same over words as a pattern.
+NAMES: dict[str, tuple[tuple[str, ...], str]] = {
+    "agpl": (("GNU Affero General Public License", "AGPL version 3", "AGPLv3", "AGPL-3.0-or-later"), r"(?:gnu )?(?:affero (?:general public licen[cs]e|gpl)|agpl(?:v?\d)?)"),
+    "apache": (("Apache License", "Apache Software License", "Apache 2.0 license", "Apache-2.0"), r"apache (?:(?:software |public )?licen[cs]e|v?\d)"),
+    "bsd": (("BSD License", "BSD-style license", "BSD 2-Clause License", "3-Clause BSD License", "BSD-2-Clause", "New BSD License"), r"(?:bsd (?:style |type |\d clause )?licen[cs]e|bsd \d clause|\d clause bsd|0bsd)"),
+    "cc-by": (("CC BY 3.0", "CC-BY-4.0", "Creative Commons Attribution License"), r"(?:cc by|creative commons attribution)(?! (?:\d \d )?(?:nc|nd|sa|non ?commercial|share ?alike|no ?deriv))"),
+    "cc-by-nc": (("CC BY-NC 3.0", "CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial License", "Creative Commons Attribution Non Commercial"), r"(?:cc by nc|creative commons attribution non ?commercial)(?! (?:nd|sa|share ?alike|no ?deriv))"),
+    "cc-by-sa": (("CC BY-SA 3.0", "CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike License", "Creative Commons Attribution Share Alike"), r"(?:cc by sa|creative commons attribution share ?alike)"),
+    "cc0": (("CC0", "CC0 1.0 Universal", "CC0-1.0", "Creative Commons Zero"), r"(?:cc0|cc zero|creative commons (?:cc0|zero))"),
+    "gpl": (("GNU General Public License", "GNU GPL", "GPL version 2", "GPLv2", "GPLv3", "GPL-2.0-only"), r"(?:gnu )?(?<!affero )(?<!lesser )(?<!library )(?:general public licen[cs]e|gpl(?:v?\d)?)"),
+    "lgpl": (("GNU Lesser General Public License", "GNU Library General Public License", "GNU LGPL", "LGPL version 2.1", "LGPLv3", "LGPL-2.1-or-later"), r"(?:gnu )?(?:(?:lesser|library) (?:general public licen[cs]e|gpl)|lgpl(?:v?\d)?)"),
+    "mit": (("MIT License", "MIT", "Expat License", "MIT-style license"), r"(?:mit|expat)(?: style)?(?: licen[cs]e)?(?! 0)"),
+    "mpl": (("Mozilla Public License", "MPL 2.0", "MPL-1.1", "MPLv2"), r"(?:mozilla public licen[cs]e|mpl ?v?\d)"),
+}
+#: Wordings around a name, for the fit.
+WORDINGS = (
+    "Licensed under the {}", "Released under {}", "This file is distributed under the terms of the {}", "This software is available under the {}, version 2", "The code is published under the {}, version 3",
+    "License: {}", "SPDX-License-Identifier: {}", "The {}", "You may redistribute it under the {}", "Its use is governed by the {}", "Subject to the terms and conditions of the {}",
+)
+_VERB = r"(?<!not )(?<!longer )\b(?:(?:re)?licen[cs]ed|released|distributed|available|published|provided|offered|shared|covered|governed|made|used?|copy|redistributed?|modify|subject)(?: it| them)?(?: only| solely)? (?:under|by|to|with)"
+_BEFORE = r"(?: the| a| an)?(?: (?:terms|conditions|terms and conditions|provisions) of(?: the| a| an)?)?(?: (?:version|v) ?\d+(?: \d+)? of(?: the)?)?(?: (?!not )\w+){0,2} "
+_AFTER = r"(?: licen[cs]e)?(?: (?:international|unported|universal))?(?: (?:version |v ?)?\d+(?: \d+)?)?(?: licen[cs]e| international(?: public)?(?: licen[cs]e)?| universal| mit)?(?: (?:\d+ )?[a-z]+ \d{4})?"
+#: By family: a declaration over the words of a paragraph, with single spaces.
+DECLARES = {c: rf"{_VERB}{_BEFORE}{x}\b|\bspdx licen[cs]e identifier {x}\b|^licen[cs]es? (?:the )?{x}\b|^(?:the )?(?:new |modified |simplified )?{x}{_AFTER}$" for c, (_, x) in NAMES.items()}
+DECLARES["proprietary"] = r"\ball rights (?:are )?reserved\b|\b(?:proprietary and confidential|confidential and proprietary)\b|\bunauthori[sz]ed (?:copying|use|reproduction|distribution)\b.* (?:is|are) (?:strictly )?(?:prohibited|forbidden)\b|\bno part of this \w+ may be (?:reproduced|copied|distributed)\b"
+#: Creative Commons licenses of no family here.
+OTHER = r"\b(?:cc by|creative commons attribution) (?:(?:nc|non ?commercial) )?(?:nd|no ?deriv)|\b(?:cc by|creative commons attribution) (?:nc|non ?commercial) (?:sa|share ?alike)"
+OWNED = ("Proprietary and confidential", "This source is confidential and proprietary", "Unauthorised copying is prohibited", "Unauthorized use or distribution of this software is strictly forbidden", "All rights are reserved", "No part of this work may be reproduced", "No part of this publication may be copied or distributed")
+#: Lines that a notice may be wrapped over, and words that no template exceeds.
+SPAN, REACH = 3, 24
+#: Words of notices that are common elsewhere: a wrapped notice has others, too.
+COMMON = frozenset("or under with without out no part can has by work file form forms free terms text law version code its will have 0 1 2 3 4".split())
 STOP = frozenset("a an and any are as at be by for from in is it not of on or she he the to was were with this that all her may you use".split())
 UNKNOWN = "unknown"
 CONTAINED = 0.8
@@ -74,6 +109,7 @@ def examples() -> list[tuple[str, str]]:
     for family, notices in NOTICES.items():
         for x in notices:
             out += [(family, x), (family, f"This file: {x}. See the LICENSE file."), (family, f"Copyright the authors. {x}"), (family, f"{x}; other text follows here in the same line")]
+    out += [(family, wording.format(name)) for family, (names, _) in NAMES.items() for name in names for wording in WORDINGS] + [("proprietary", x) for x in OWNED]
     return out + [(UNKNOWN, x) for x in NEAR_MISSES] + [(UNKNOWN, f"{a}. {b}") for a, b in zip(NEAR_MISSES, NEAR_MISSES[1:])]
 
 
@@ -83,8 +119,9 @@ class Model:
     def __init__(self):
         rows = examples()
         self.classes = [*NOTICES, UNKNOWN]
-        self.vocabulary = sorted({g for x in NOTICES.values() for n in x for g in grams_of(words_of(n))})
-        self.words = sorted({w for n in (n for x in NOTICES.values() for n in x) for w in words_of(n) if w not in STOP})
+        texts = [n for x in NOTICES.values() for n in x] + [n for x, _ in NAMES.values() for n in x] + [w.format("") for w in WORDINGS] + list(OWNED)
+        self.vocabulary = sorted({g for n in texts for g in grams_of(words_of(n))})
+        self.words = sorted({w for n in texts for w in words_of(n) if w not in STOP})
         place = {g: k for k, g in enumerate(self.vocabulary)}
         x = np.zeros((len(rows), len(place)))
         for k, (_, text) in enumerate(rows):
@@ -133,39 +170,76 @@ def scan(docs: DataFrame) -> DataFrame:
     """Adds n_paragraphs and findings: array of (paragraph, text, family, probability) of the paragraphs that could be notices."""
     m = model()
     vocabulary, classes = _list(m.vocabulary), _list(m.classes)
-    weights = F.array(*[_list([float(v) for v in column]) for column in m.weights.T])
+    weights = F.from_json(F.lit(json.dumps(m.weights.T.tolist())), "array<array<double>>")
     templates = F.create_map(*[x for c, notices in NOTICES.items() for x in (F.lit(c), F.array(*[_list(pairs_of(words_of(n))) for n in notices]))])
     known, grams = set(m.words), m.vocabulary
 
     lines = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")
-    numbered = F.transform(lines, lambda t, k: F.struct(k.cast("long").alias("paragraph"), t.alias("text"), F.split(F.lower(t), WORD).alias("words")))
-    numbered = F.filter(numbered, lambda p: F.exists(p["words"], lambda w: w != ""))
-    step = docs.withColumn("_lines", numbered).withColumn("n_paragraphs", F.size("_lines").cast("long"))
-    step = step.withColumn("_near", F.filter("_lines", lambda p: F.size(F.filter(p["words"], lambda w: w.isin(known))) >= 2)).drop("_lines")
+    # "lines" is the number of lines that a part is made of.
+    numbered = F.transform(lines, lambda t, k: F.struct(k.alias("paragraph"), F.lit(1).alias("lines"), t.alias("text"), F.filter(F.split(F.lower(t), WORD), lambda w: w != "").alias("words")))
+    step = docs.withColumn("_lines", numbered).withColumn("n_paragraphs", F.size(F.filter("_lines", lambda p: F.size(p["words"]) > 0)).cast("long"))
+    familiar = lambda words: F.filter(words, lambda w: w.isin(known))
+    telling = lambda words: F.exists(words, lambda w: w.isin(known - COMMON))
+    last = lambda words: F.slice(words, F.greatest(F.size(words) - REACH + 1, F.lit(1)), REACH)
+    # Each line's familiar words before and after its breaks: a notice over lines has some in the first and the last of them.
+    step = step.withColumn("_edges", F.transform("_lines", lambda p: F.struct(familiar(last(p["words"])).alias("end"), familiar(F.slice(p["words"], 1, REACH)).alias("start"))))
+
+    def wrapped(n: int) -> Column:
+        """What could be a notice wrapped over n lines: words before the first break and after the last one, and all between them."""
+
+        def part(p: Column) -> Column:
+            at = lambda k: F.get("_lines", p["paragraph"] + k)
+            edge = lambda k: F.get("_edges", p["paragraph"] + k)
+            inner, end, start = [at(k) for k in range(1, n - 1)], edge(0)["end"], edge(n - 1)["start"]
+            whole = (F.size(end) > 0) & (F.size(start) > 0)
+            for x in inner:
+                whole &= F.size(x["words"]).between(1, REACH)
+            some = telling(end) | telling(start)
+            for k in range(1, n - 1):
+                some |= telling(edge(k)["start"])
+            words = F.concat(last(p["words"]), *(x["words"] for x in inner), F.slice(at(n - 1)["words"], 1, REACH))
+            text = F.concat_ws("\n", p["text"], *(x["text"] for x in inner), at(n - 1)["text"])
+            return F.when(whole & some, F.struct(p["paragraph"].alias("paragraph"), F.lit(n).alias("lines"), text.alias("text"), words.alias("words")))
+
+        return F.filter(F.transform("_lines", part), lambda p: p.isNotNull())
+
+    step = step.withColumn("_near", F.concat(F.filter("_lines", lambda p: F.size(familiar(p["words"])) >= 2), *(wrapped(n) for n in range(2, SPAN + 1)))).drop("_lines", "_edges")
+
+    def of(p: Column, **fields: Column) -> Column:
+        return F.struct(*(p[c].alias(c) for c in ("paragraph", "lines", "text")), *(v.alias(c) for c, v in fields.items()))
 
     def with_pairs(p: Column) -> Column:
-        words = F.filter(p["words"], lambda w: w != "")
+        words = p["words"]
         pairs = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
-        return F.struct(p["paragraph"].alias("paragraph"), p["text"].alias("text"), words.alias("words"), pairs.alias("pairs"))
+        return of(p, words=words, pairs=pairs)
 
     def with_scores(p: Column) -> Column:
         hits = F.filter(F.array_distinct(F.concat(p["words"], p["pairs"])), lambda g: g.isin(grams))
         scores = F.aggregate(hits, _list([float(b) for b in m.bias]), lambda total, g: F.zip_with(total, F.element_at(weights, F.array_position(vocabulary, g).cast("int")), lambda a, b: a + b))
-        return F.struct(p["paragraph"].alias("paragraph"), p["text"].alias("text"), F.when(F.size(p["pairs"]) > 0, p["pairs"]).otherwise(p["words"]).alias("pairs"), scores.alias("scores"))
+        return of(p, words=p["words"], pairs=F.when(F.size(p["pairs"]) > 0, p["pairs"]).otherwise(p["words"]), scores=scores)
 
     def with_family(p: Column) -> Column:
         top = F.array_max(p["scores"])
         likely = 1 / F.aggregate(p["scores"], F.lit(0.0), lambda total, s: total + F.exp(s - top))
-        return F.struct(p["paragraph"].alias("paragraph"), p["text"].alias("text"), p["pairs"].alias("pairs"), F.element_at(classes, F.array_position(p["scores"], top).cast("int")).alias("family"), likely.alias("probability"))
+        return of(p, words=p["words"], pairs=p["pairs"], family=F.element_at(classes, F.array_position(p["scores"], top).cast("int")), probability=likely)
 
     def confirmed(p: Column) -> Column:
         alike = F.exists(F.element_at(templates, p["family"]), lambda t: F.size(F.array_intersect(t, p["pairs"])) >= F.size(t) * F.lit(CONTAINED))
-        sure = (p["probability"] >= m.least) & (p["family"] != UNKNOWN) & F.coalesce(alike, F.lit(False))
-        return F.struct(p["paragraph"].alias("paragraph"), p["text"].alias("text"), F.when(sure, p["family"]).otherwise(F.lit(UNKNOWN)).alias("family"), p["probability"].alias("probability"))
+        declared = F.coalesce(*(F.when(p["family"] == c, F.array_join(p["words"], " ").rlike(x)) for c, x in DECLARES.items()))
+        other = p["family"].startswith("cc-by") & F.array_join(p["words"], " ").rlike(OTHER)
+        sure = (p["family"] != UNKNOWN) & ~other & (F.coalesce(declared, F.lit(False)) | (p["probability"] >= m.least) & F.coalesce(alike, F.lit(False)))
+        return of(p, family=F.when(sure, p["family"]).otherwise(F.lit(UNKNOWN)), probability=p["probability"])
 
     for f in (with_pairs, with_scores, with_family, confirmed):
         step = step.withColumn("_near", F.transform("_near", f))
-    return step.withColumnRenamed("_near", "findings")
+    meets = lambda p, q: (q["paragraph"] < p["paragraph"] + p["lines"]) & (p["paragraph"] < q["paragraph"] + q["lines"])
+    # A notice within fewer lines, or in earlier ones, goes before a wrapped one, and a wrapped one before the unknown lines in it.
+    before = lambda p, q: ((q["lines"] == 1) | (q["lines"] < p["lines"]) | ((q["lines"] == p["lines"]) & (q["paragraph"] < p["paragraph"])))
+    step = step.withColumn("_sure", F.filter("_near", lambda p: p["family"] != UNKNOWN))
+    step = step.withColumn("_wrapped", F.filter("_sure", lambda p: (p["lines"] > 1) & ~F.exists("_sure", lambda q: meets(p, q) & before(p, q)))).drop("_sure")
+    step = step.withColumn("_own", F.concat("_wrapped", F.filter("_near", lambda p: (p["lines"] == 1) & ((p["family"] != UNKNOWN) | ~F.exists("_wrapped", lambda q: meets(p, q))))))
+    findings = F.transform(F.array_sort("_own"), lambda p: F.struct(p["paragraph"].cast("long").alias("paragraph"), p["text"].alias("text"), p["family"].alias("family"), p["probability"].alias("probability")))
+    return step.withColumn("findings", findings).drop("_near", "_wrapped", "_own")
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -149,3 +149,35 @@ def test_licenses(spark, none):
     for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string, family string")).collect():
         assert {f.family for f in r.findings} - {"unknown"} == ({r.family} if r.family else set())
     assert licenses.scan(none).count() == 0
+
+
+#: Wordings, versions and ids; all but CC0's id are no templates, though the fit sees some of them.
+DECLARED = {
+    "agpl": ("This program is distributed under the GNU AGPL version 3.", "SPDX-License-Identifier: AGPL-3.0-or-later"),
+    "apache": ("Released under the Apache License 2.0", "Distributed under the terms of version 2.0 of the Apache License", "SPDX-License-Identifier: Apache-1.1"),
+    "bsd": ("Licensed under the BSD 2-Clause License", "Published under a 3-clause BSD license", "SPDX-License-Identifier: BSD-2-Clause"),
+    "cc-by": ("Available under CC BY 3.0", "SPDX-License-Identifier: CC-BY-2.5"),
+    "cc-by-nc": ("Shared under the Creative Commons Attribution-NonCommercial 3.0 licence", "Released under CC BY-NC 2.0"),
+    "cc-by-sa": ("Text is available under the Creative Commons Attribution-ShareAlike License", "CC BY-SA 3.0"),
+    "cc0": ("The data is available under CC0", "SPDX-License-Identifier: CC0-1.0"),
+    "gpl": ("Licensed under the GNU General Public License, version 3", "Released under the GPLv2", "SPDX-License-Identifier: GPL-3.0-only", "SPDX-License-Identifier: GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "It is published under\nthe terms of the GNU\nGeneral Public License"),
+    "lgpl": ("SPDX-License-Identifier: LGPL-2.1", "This library is released under the GNU Lesser General Public License, version 2.1"),
+    "mit": ("Licensed under the MIT License", "The MIT License (MIT)", "License: MIT", "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software"),
+    "mpl": ("Licensed under the Mozilla Public License 1.1", "SPDX-License-Identifier: MPL-1.1"),
+    "proprietary": ("Copyright 2020 Example Ltd. All rights are reserved.", "Unauthorised copying of these pages is forbidden"),
+}
+UNDECLARED = (
+    "The MIT laboratory was licensed by the city", "Not licensed under the MIT License", "Licensed under CC BY-NC-SA 4.0", "Licensed under CC BY-ND 4.0", "The general public may copy the form",
+    "The Apache nation released a statement", "Licensed under the Eclipse Public License", "Licensed under\n\nthe MIT License of somebody else", "The GPL is often compared with other licenses",
+)
+
+
+def test_licenses_in_other_words(spark):
+    rows = [(f"Some text.\n{n}\nMore text.", c) for c, notices in DECLARED.items() for n in notices] + [(t, None) for t in UNDECLARED]
+    rows += [("GPL-2.0 code.\nLicensed under the MIT License.\nReleased under\nthe Apache License 2.0", "mit,apache")]
+    wrong = []
+    for r in licenses.scan(spark.createDataFrame(rows, "text string, family string")).collect():
+        found = [f.family for f in r.findings if f.family != "unknown"]
+        if found != (r.family.split(",") if r.family else []):
+            wrong.append((r.text, r.family, [(f.paragraph, f.family, round(f.probability, 2)) for f in r.findings]))
+    assert not wrong

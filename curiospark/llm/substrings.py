@@ -9,13 +9,13 @@ factor ends, the windows over its boundary are looked up as well, so none is mis
 every factor is at least a window long, each is a duplicate span; a text's spans are joined, and what they
 cover is removed.
 
-Earlier means a smaller doc_id, or the same and an earlier word. Only anchors, window hashes and spans are dealt to
+Earlier means a smaller doc_id, or the same and an earlier word. Only window hashes and spans are dealt to
 blocks, in packed form; texts are shuffled once, to meet their spans. A block holds 16 MB of text, whatever the
 input's size; a passage that many texts share adds one entry for each to its block.
 
 Defined cases: null and empty texts have no words; null ids count as the largest; rows with equal ids are one document:
 equal windows at the same place in them aren't repeats of each other; other columns are ignored. Windows are told
-apart by hashes of 64 bits.
+apart by hashes of 64 bits, all of which are dealt.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .near import buckets_for
-from .packed import lengths, schema, unpack
-from .scan import NOT_SPACE, Words, mix, ngrams, slices, words
+from .packed import schema, unpack
+from .scan import NOT_SPACE, Words, ngrams, slices, words
 from .shared import bounded_batches, keep, table
 
 WINDOW, ANCHOR = 20, 8
@@ -61,7 +61,7 @@ def anchors(w: Words, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.nd
 
 
 def deal(ids: np.ndarray, null: np.ndarray, tells: np.ndarray, texts: pa.Array, buckets: int) -> pa.RecordBatch | None:
-    """By block: anchors, texts, starts and lengths of runs of windows, the windows' hashes, and the slice's texts."""
+    """By block: starts (low and high bits) and lengths of runs of windows, with a mark on each text's first one, the windows' hashes, and the texts."""
     w = words(texts, NOT_SPACE)
     start, doc, h, place = anchors(w)
     if not len(start):
@@ -78,13 +78,17 @@ def deal(ids: np.ndarray, null: np.ndarray, tells: np.ndarray, texts: pa.Array,
     h = h[inside]
     cut_windows = np.concatenate(([0], ends))[cut]
 
+    text, first = doc[new], np.ones(len(new), bool)
+    first[1:] = np.diff(text) != 0
+    first[cut[:-1]] = True
+    text, cut_texts = text[first], np.concatenate(([0], np.cumsum(first)))[cut]
+    place = start[new] - w.ptr[doc[new]]
+
     def column(v: np.ndarray, at: np.ndarray) -> pa.Array:
         return pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer((at * v.dtype.itemsize).astype(np.int32).tobytes()), pa.py_buffer(np.ascontiguousarray(v).tobytes())])
 
-    once = lambda v: pa.array([v.tobytes()] * (len(cut) - 1), pa.binary())
-    per_run = (anchor[order], doc[new].astype(np.uint32), (start[new] - w.ptr[doc[new]]).astype(np.uint32), size.astype(np.uint8))
-    per_window = (h.astype(np.uint32), (h >> np.uint64(32)).astype(np.uint8))
-    arrays = [*(column(v, cut) for v in per_run), *(column(v, cut_windows) for v in per_window), once(ids), once(null), once(tells)]
+    per_run = (place.astype(np.uint16), (place >> 16).astype(np.uint16), (size | first << 7).astype(np.uint8))
+    arrays = [*(column(v, cut) for v in per_run), column(h, cut_windows), *(column(v[text], cut_texts) for v in (ids, null, tells))]
     return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]], pa.int32()), *arrays], ["bucket", *(f"c{k}" for k in range(len(arrays)))])
 
 
@@ -93,20 +97,18 @@ FACTORS = "doc_id long, tell long, start int, windows int, source long, source_s
 
 def factor(group: pa.Table) -> pa.Table:
     """Greedy factors, within runs of windows, of a block's texts against its index."""
-    runs, sizes = lengths(group["c0"], 8), lengths(group["c6"], 8)
-    size = unpack(group["c3"], "<u1").astype(np.int64)
-    text = unpack(group["c1"], "<u4").astype(np.int64) + np.repeat(np.cumsum(sizes) - sizes, runs)
+    size = unpack(group["c2"], "<u1").astype(np.int64)
+    text, size = np.cumsum(size >> 7) - 1, size & 127
     run = np.repeat(np.arange(len(size)), size)
     inside = np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size)
-    key = unpack(group["c4"], "<u4").astype(np.uint64) | (unpack(group["c5"], "<u1").astype(np.uint64) << np.uint64(32))
-    key = mix(key ^ mix(unpack(group["c0"], "<u8"))[run])
+    key = unpack(group["c3"], "<u8")
     order = np.argsort(key, kind="stable")
     same = key[order[1:]] == key[order[:-1]]
     shared = order[np.concatenate((same, [False])) | np.concatenate(([False], same))]
     key, run, inside = key[shared], run[shared], inside[shared]
     text = text[run]
-    ids, null, tells = unpack(group["c6"], "<i8"), unpack(group["c7"], "<u1"), unpack(group["c8"], "<i8")
-    place = unpack(group["c2"], "<u4").astype(np.int64)[run] + inside
+    ids, null, tells = unpack(group["c4"], "<i8"), unpack(group["c5"], "<u1"), unpack(group["c6"], "<i8")
+    place = (unpack(group["c0"], "<u2").astype(np.int64) | unpack(group["c1"], "<u2").astype(np.int64) << 16)[run] + inside
     order = np.lexsort((place, ids[text], null[text], key))
     key, run, place, text = key[order], run[order], place[order], text[order]
     first = np.searchsorted(key, key)
@@ -139,7 +141,7 @@ def factors(docs: DataFrame) -> DataFrame:
                 if (found := deal(ids[part], null[part], tells[part], texts, buckets)) is not None:
                     yield found
 
-    return docs.mapInArrow(run, schema(9)).groupBy("bucket").applyInArrow(factor, FACTORS)
+    return docs.mapInArrow(run, schema(7)).groupBy("bucket").applyInArrow(factor, FACTORS)
 
 
 def join_factors(parts: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:

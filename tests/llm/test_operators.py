@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -47,6 +48,21 @@ def test_substrings(docs, none):
     assert substrings.dedup_substrings(none).count() == 0
 
 
+def test_windows_are_told_apart_by_all_bits(monkeypatch):
+    def apart_by_high_bits(w):
+        start, doc, h, place = whole(w)
+        return start, doc, np.arange(len(h), dtype=np.uint64) % np.uint64(41) << np.uint64(40), place
+
+    whole = substrings.anchors
+    texts = pa.array([" ".join(WORDS[:60])] * 2, pa.large_string())
+    args = np.array([3, 70_000], np.int64), np.zeros(2, np.uint8), np.array([5, 6], np.int64), texts, 1
+    monkeypatch.setattr(substrings, "anchors", apart_by_high_bits)
+    found = substrings.factor(pa.Table.from_batches([substrings.deal(*args)])).to_pylist()
+    assert {(r["doc_id"], r["tell"], r["source"]) for r in found} == {(70_000, 6, 3)}
+    assert sorted(k for r in found for k in range(r["start"], r["start"] + r["windows"])) == list(range(41))
+    assert all(r["start"] == r["source_start"] for r in found)
+
+
 def test_near_groups(docs, none):
     sets = []
     for t in TEXTS:

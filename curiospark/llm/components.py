@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import keep
+from .shared import keep, release
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, comp (the smallest node that edges a, b connect it to) of every node of an edge.
+    """node, comp (a kept table, with a further column; the smallest node that edges a, b connect it to) of every node of an edge.
 
     In each round, a node takes the smallest label among its neighbours, then its label's label, so paths of any
     length shrink to half and less. Minima are pre-aggregated; nothing comes to the driver but a count.
@@ -20,7 +20,10 @@ def components(edges: DataFrame) -> DataFrame:
         near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
         hooked = keep(labels.join(near, "node").select("node", F.least("comp", "near").alias("comp"), F.col("comp").alias("was")), "hooked")
         jumped = hooked.join(hooked.select(F.col("node").alias("comp"), F.col("comp").alias("next")), "comp", "left")
-        new = keep(jumped.select("node", F.least("comp", "next").alias("comp"), "was"), "labels")
-        if not new.where("comp <> was").limit(1).count():
-            return new.select("node", "comp")
-        labels = new.select("node", "comp")
+        moved = F.least("comp", "next")
+        new = keep(jumped.select("node", moved.alias("comp"), (moved != F.col("was")).alias("moved")), "labels")
+        release(labels, hooked)
+        if not new.where("moved").limit(1).count():
+            release(both)
+            return new
+        labels = new

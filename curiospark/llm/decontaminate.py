@@ -5,7 +5,7 @@ Symbols are words, not characters: text and items are lower-cased (A-Z) and cut
 whole item where it has fewer. For all patterns of one length, a shift table over blocks of two words
 says how far the search may skip; where it says 0, the bucket of the block's hash lists the patterns that end
 so, and a comparison of the words themselves confirms them. The tables hold at most ``most`` patterns;
-a larger benchmark is searched block by block, every block against all texts, and the passes are chained.
+a larger benchmark is searched block by block, every block against all texts, and a row's hits are put together.
 
 Defined cases: null and empty texts have no words, no hits and no items; null and empty items have no
 patterns; an item with a null id hits words but isn't counted as an item; rows with equal ids are judged
@@ -14,15 +14,17 @@ each on its own; other columns of either table are ignored.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .scan import ALNUM, Words, mix, slices, words
-from .shared import bounded_batches, keep, table
+from .shared import bounded_batches, column, keep, table
 
 WIDTH = 8
 MOST_PATTERNS = 200_000
@@ -104,35 +106,56 @@ class Searcher:
 
 
 def pattern_blocks(benchmark: DataFrame, width: int, most: int) -> Iterator[dict[tuple[bytes, ...], set]]:
-    """The distinct patterns and their items, at most about ``most`` at a time; items come to the driver one by one."""
+    """The patterns and their items, at most ``most`` at a time; items come to the driver one by one, and a long one may go on in the next block."""
     block: dict[tuple[bytes, ...], set] = {}
     for row in benchmark.select("item_id", "text").toLocalIterator():
         for name in patterns_of(row.text, width):
+            if len(block) >= most and name not in block:
+                yield block
+                block = {}
             block.setdefault(name, set())
             if row.item_id is not None:
                 block[name].add(str(row.item_id))
-        if len(block) >= most:
-            yield block
-            block = {}
     yield block
 
 
-STATE = ", n_words long, hits binary, items array<string>"
+FOUND = "n_words long, hits binary, items array<string>"
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, most: int = MOST_PATTERNS, carry: Sequence[str] = ("doc_id", "text")) -> DataFrame:
-    """The columns ``carry``, n_words, n_hit, hits (bit k of the bytes, high bit first: word k is hit), items (sorted)."""
+def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, most: int = MOST_PATTERNS, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """carried (a struct of the columns ``carry``), n_words, hits (bit k of the bytes, high bit first: word k is hit), items (sorted), n_hit."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    own = docs.select(*carry, F.col("text").alias("_text"))
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema) + STATE
-    state = own.select("*", F.lit(0).cast("long").alias("n_words"), F.lit(b"").alias("hits"), F.array().cast("array<string>").alias("items"))
-    for k, block in enumerate(pattern_blocks(benchmark, width, most)):
-        if k:
-            state = keep(state, "decontaminate")  # one block's tables at a time on the executors
-        shared = spark.sparkContext.broadcast(block)
-        state = state.mapInArrow(_pass(shared, own.columns), ddl)
-    return state.drop("_text").withColumn("n_hit", _ones(F.col("hits")))
+    own = docs.select(F.struct(*(column(c) for c in carry)).alias("carried"), F.col("text").alias("_text"))
+    blocks = pattern_blocks(benchmark, width, most)
+    block, following = next(blocks), next(blocks, None)
+    if following is None:
+        found = own.mapInArrow(_search(spark.sparkContext.broadcast(block), "carried"), _with(FOUND, own, "carried"))
+        return found.withColumn("n_hit", _ones(F.col("hits")))
+    # Every block's hits go by a row's number, so that texts are written once, whatever the number of blocks.
+    own = keep(own.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
+    texts, parts = own.select("row", "_text"), []
+    while block is not None:
+        hits = texts.mapInArrow(_search(spark.sparkContext.broadcast(block), "row"), _with(FOUND, texts, "row"))
+        parts.append(keep(hits.where("length(hits) > 0") if parts else hits, "decontaminate-hits"))
+        block, following = following, next(blocks, None)
+    both = functools.reduce(DataFrame.unionAll, parts).groupBy("row").agg(F.max("n_words").alias("n_words"), F.collect_list("hits").alias("parts"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    found = own.drop("_text").join(both, "row").drop("row").mapInArrow(_either, _with(FOUND, own, "carried"))
+    return found.withColumn("n_hit", _ones(F.col("hits")))
+
+
+def _with(ddl: str, df: DataFrame, name: str) -> T.StructType:
+    return T.StructType([df.schema[name], *T._parse_datatype_string(ddl).fields])
+
+
+def _either(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bits that any of a row's parts has."""
+    for batch in batches:
+        hits = []
+        for parts in batch.column("parts").to_pylist():
+            bits = [np.frombuffer(x, np.uint8) for x in parts if x]
+            hits.append(np.bitwise_or.reduce(bits).tobytes() if bits else b"")
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("carried", "n_words")), pa.array(hits, pa.binary()), batch.column("items")], ["carried", "n_words", "hits", "items"])
 
 
 def _ones(hits):
@@ -144,27 +167,21 @@ def _ones(hits):
     return bits.cast("long")
 
 
-def _pass(shared, columns: list[str]):
+def _search(shared, name: str):
+    """Column ``name`` and what of the patterns ``shared`` is in the texts."""
     made: list[Searcher] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not made:
             made.append(Searcher(shared.value))
         for batch in batches:
-            before, found = batch.column("hits"), batch.column("items")
             for first, texts in slices(batch.column("_text")):
                 w, cover, items = made[0].search(texts)
-                hits, names = [], []
+                hits = []
                 for d in range(len(texts)):
                     own = cover[w.ptr[d] : w.ptr[d + 1]] > 0
-                    old = before[first + d].as_py()
-                    bits = np.packbits(own)
-                    if old:
-                        bits = bits | np.frombuffer(old, np.uint8)
-                    hits.append(bits.tobytes() if bits.any() else b"")
-                    names.append(sorted({*(found[first + d].as_py() or ()), *items[d]}))
-                part = batch.slice(first, len(texts))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(np.diff(w.ptr), pa.int64()), pa.array(hits, pa.binary()), pa.array(names, pa.list_(pa.string()))], [*columns, "n_words", "hits", "items"])
+                    hits.append(np.packbits(own).tobytes() if own.any() else b"")
+                yield pa.RecordBatch.from_arrays([batch.column(name).slice(first, len(texts)), pa.array(np.diff(w.ptr), pa.int64()), pa.array(hits, pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))], [name, "n_words", "hits", "items"])
 
     return run
 
@@ -175,5 +192,5 @@ def contaminated(found: DataFrame, least_items: int = 2) -> DataFrame:
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search ``documents`` for windows of ``benchmark``: see the module."""
-    found = contaminated(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=("doc_id",)))
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+    found = contaminated(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    return found.select("carried.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")

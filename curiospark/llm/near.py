@@ -13,15 +13,15 @@ one that isn't empty; a set with too many empty ones gives the signatures of ano
 a pair that has nothing better then do.
 
 Steps. Texts with equal sets are one class, by a 64-bit fingerprint of the set. (1) The signatures are dealt to
-buckets in packed form; of classes that share one, each is paired with the smallest. (2) Texts of the paired classes are
+buckets in packed form, a slice's row for a bucket naming only the classes in it; of classes that share one, each is paired with the smallest. (2) Texts of the paired classes are
 compared in full: first each class with the partner that it shares most signatures with, then the pairs between
 different components. (3) Where classes that share a signature are still in different components, all pairs across these
 components are compared, the hopeless ones being told by parities of their shingles, and the closest first. So no link between different
 components is missed, and the work inside a component, of any size, is linear.
 
 Defined cases: null and empty texts, and texts without words, have an empty set and are linked with nothing; a text of
-fewer than five words has its whole word sequence as one shingle; rows with equal ids are one document to links, and
-each keeps its row; a null id is in no group but its own row's (component_id null); other columns are ignored.
+fewer than five words has its whole word sequence as one shingle; rows with equal ids are one document, which links by any of
+its texts, and each keeps its row; a null id is in no group (component_id null); other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,18 +31,23 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .packed import lengths, schema, unpack
+from .packed import binary, lengths, repeated, unpack
 from .scan import NOT_SPACE, Words, mix, ngrams, slices, words
-from .shared import bounded_batches, keep, table
+from .shared import bounded_batches, keep, release, spread_over, table, text_bytes
 
 SHINGLE, PERCENT, SPARE, LEVELS = 5, 80, 1.15, 4
 WIDER = 1.25
 SLICE = 1 << 22
-SPLIT = 512
+SPLIT, HOT = 512, 10_000
+
+
+def tell() -> Column:
+    """What tells rows of one id apart by their texts."""
+    return F.xxhash64("text").alias("tell")
 
 
 def shingle_sets(texts: pa.Array, n: int = SHINGLE) -> list[np.ndarray]:
@@ -158,42 +163,49 @@ def _level(sets: list[np.ndarray], index: np.ndarray, tag: np.ndarray, level: in
     return index[more]
 
 
+#: What is dealt to buckets: 40 bits of a signature (the bucket has more) and the place of its class among the row's; the row's classes.
+ENTRY = np.dtype([("sig", "<u4"), ("top", "u1"), ("at", "<u2"), ("at_top", "u1")])
+CLASS = np.dtype([("name", "<i8"), ("needed", "<u4")])
+
+
 def deal(texts: pa.Array, buckets: int) -> pa.RecordBatch | None:
-    """The slice's signatures by bucket: 40 bits each (the bucket has more), the place of the class, and the classes."""
+    """The slice's signatures by bucket: entries and the classes that they name, no others."""
     classes: dict[int, np.ndarray] = {}
     for s in shingle_sets(texts):
         if len(s):
             classes.setdefault(fingerprint(s), s)
     if not classes:
         return None
-    names = np.fromiter(classes, np.int64, len(classes)).tobytes()
+    names = np.fromiter(classes, np.int64, len(classes))
     needed = np.full(len(classes), 1 << 30)
     sig, at = signatures(list(classes.values()), needed=needed)
-    needed = needed.astype(np.uint32).tobytes()
-    bucket = ((sig >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
-    order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+    bucket = ((sig >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((at, bucket))
     bucket, sig, at = bucket[order], sig[order], at[order]
-    cut = np.concatenate((np.flatnonzero(np.diff(bucket, prepend=-1)), [len(bucket)])) if len(bucket) else np.zeros(1, np.int64)
-
-    def column(v: np.ndarray) -> pa.Array:
-        return pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer((cut * v.dtype.itemsize).astype(np.int32).tobytes()), pa.py_buffer(v.tobytes())])
-
-    columns = [column(sig.astype(np.uint32)), column((sig >> np.uint64(32)).astype(np.uint8)), column(at.astype(np.uint16 if len(classes) < 1 << 16 else np.uint32))]
-    return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]], pa.int32()), *columns, *(pa.array([x] * (len(cut) - 1), pa.binary()) for x in (names, needed))], ["bucket", "c0", "c1", "c2", "c3", "c4"])
+    cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+    new = np.append(True, (bucket[1:] != bucket[:-1]) | (at[1:] != at[:-1]))[: len(at)]
+    held = np.cumsum(new)
+    cut_classes = np.concatenate(([0], held))[cut]
+    own = np.zeros(int(new.sum()), CLASS)
+    own["name"], own["needed"] = names[at[new]], needed[at[new]]
+    place = held - 1 - np.repeat(cut_classes[:-1], np.diff(cut))
+    entries = np.zeros(len(sig), ENTRY)
+    entries["sig"], entries["top"] = sig.astype(np.uint32), (sig >> np.uint64(32)).astype(np.uint8)
+    entries["at"], entries["at_top"] = place & 0xFFFF, place >> 16
+    return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]], pa.int32()), binary(entries, cut), binary(own, cut_classes)], ["bucket", "entries", "classes"])
 
 
 def _members(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(signature, class, what the class needs), sorted and distinct, of the signatures that more than one class has."""
-    sig = unpack(group["c0"], "<u4").astype(np.uint64) | (unpack(group["c1"], "<u1").astype(np.uint64) << np.uint64(32))
-    counts = lengths(group["c0"], 4)
-    sizes = lengths(group["c3"], 8)
-    places = group["c2"].to_pylist()
-    at = np.concatenate([np.frombuffer(x, "<u4" if len(x) == 4 * n else "<u2").astype(np.int64) for x, n in zip(places, counts)])
-    at += np.repeat(np.cumsum(sizes) - sizes, counts)
-    names, needed = unpack(group["c3"], "<i8"), unpack(group["c4"], "<u4")
+    entries, own = unpack(group["entries"], ENTRY), unpack(group["classes"], CLASS)
+    sig = entries["sig"].astype(np.uint64) | (entries["top"].astype(np.uint64) << np.uint64(32))
+    at = entries["at"].astype(np.int64) | (entries["at_top"].astype(np.int64) << 16)
+    sizes = lengths(group["classes"], CLASS.itemsize)
+    at += np.repeat(np.cumsum(sizes) - sizes, lengths(group["entries"], ENTRY.itemsize))
+    names, needed = own["name"], own["needed"]
     order = np.argsort(sig, kind="stable")
     sig, at = sig[order], at[order]
-    keep_shared = _repeated(sig)
+    keep_shared = repeated(sig)
     sig, at = sig[keep_shared], at[keep_shared]
     order = np.lexsort((names[at], sig))
     sig, at = sig[order], at[order]
@@ -201,16 +213,10 @@ def _members(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     new = np.ones(len(sig), bool)
     new[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
     sig, node, at = sig[new], node[new], at[new]
-    keep_shared = _repeated(sig)
+    keep_shared = repeated(sig)
     return sig[keep_shared], node[keep_shared], needed[at[keep_shared]]
 
 
-def _repeated(v: np.ndarray) -> np.ndarray:
-    """Of a sorted array, which entries have an equal neighbour."""
-    same = v[1:] == v[:-1]
-    return np.concatenate((same, [False]))[: len(v)] | np.concatenate(([False], same))[: len(v)]
-
-
 def _stars(group: pa.Table) -> pa.Table:
     """Each class b with the smallest class a that shares a signature, how many such signatures, and what b needs; a itself, too."""
     sig, node, needed = _members(group)
@@ -222,10 +228,9 @@ def _stars(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a[new], pa.int64()), "b": pa.array(b[new], pa.int64()), "n": pa.array(n, pa.int64()), "needed": pa.array(needed[new].astype(np.int64), pa.int64())})
 
 
-def buckets_for(docs: DataFrame) -> int:
+def buckets_for(size: int) -> int:
     """A bucket for 16 MB of text: a task then holds about as much of signatures."""
-    size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    return int(min(max(64, size >> 24), 1 << 24))
+    return max(64, size >> 24)
 
 
 def dealt(docs: DataFrame, buckets: int) -> DataFrame:
@@ -235,11 +240,11 @@ def dealt(docs: DataFrame, buckets: int) -> DataFrame:
                 if (found := deal(texts, buckets)) is not None:
                     yield found
 
-    return docs.select("text").mapInArrow(run, schema(5))
+    return docs.select("text").mapInArrow(run, "bucket int, entries binary, classes binary")
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, class (null without shingles) of every row."""
+    """doc_id, tell (a hash that tells texts of one id apart), n_shingles, class (null without shingles) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,9 +252,9 @@ def classes(docs: DataFrame) -> DataFrame:
             for first, texts in slices(batch.column("text"), SLICE):
                 sets = shingle_sets(texts)
                 names = pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, len(texts)), pa.array([len(s) for s in sets], pa.int64()), names], ["doc_id", "n_shingles", "class"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(first, len(texts)) for c in ("doc_id", "tell")), pa.array([len(s) for s in sets], pa.int64()), names], ["doc_id", "tell", "n_shingles", "class"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, class long")
+    return docs.select("doc_id", tell(), "text").mapInArrow(run, f"doc_id {kind}, tell long, n_shingles long, class long")
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -390,25 +395,27 @@ def unresolved(rows: DataFrame, sketches: DataFrame, comp: DataFrame, width: int
     return met.groupBy("deal").applyInArrow(_across(width), "a long, b long").distinct()
 
 
-def class_links(docs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(links a, b between classes that connect all that is connected, node and comp of linked classes)."""
-    stars = dealt(docs, buckets_for(docs)).groupBy("bucket").applyInArrow(_stars, "a long, b long, n long, needed long")
-    stars = keep(stars.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("needed").alias("needed")), "star-pairs")
+def class_links(docs: DataFrame, carriers: DataFrame) -> DataFrame:
+    """Links a, b between classes that connect all that is connected. ``carriers`` has class, doc_id and tell of a text of each class."""
+    size = text_bytes(docs)
+    stars = spread_over(dealt(docs, buckets_for(size)), size, "bucket").groupBy("bucket").applyInArrow(_stars, "a long, b long, n long, needed long")
+    found = keep(stars.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("needed").alias("needed")), "star-pairs")
     # A class that shares fewer signatures with all others together than with one similar class links with none.
-    enough = keep(stars.groupBy(F.col("b").alias("node")).agg(F.sum("n").alias("n"), F.max("needed").alias("needed")).where("n >= needed").select("node"), "enough")
-    stars = stars.where("a <> b").select("a", "b", "n").join(enough.select(F.col("node").alias("b")), "b", "left_semi")
+    enough = keep(found.groupBy(F.col("b").alias("node")).agg(F.sum("n").alias("n"), F.max("needed").alias("needed")).where("n >= needed").select("node"), "enough")
+    stars = found.where("a <> b").select("a", "b", "n").join(enough.select(F.col("node").alias("b")), "b", "left_semi")
     stars = stars.join(enough.select(F.col("node").alias("a"), F.lit(True).alias("open")), "a", "left")
     stars = keep(stars.select("a", "b", "n", F.coalesce("open", F.lit(False)).alias("open")), "pairs")
+    release(found, enough)
     nodes = stars.where("open").select(F.col("a").alias("class")).union(stars.select("b")).distinct()
-    carriers = members.join(nodes, "class").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    one = docs.select("doc_id", "text").join(carriers, "doc_id").select("class", "text")
-    texts = keep(one, "candidate-texts")
+    one = carriers.join(nodes, "class").select("class", "doc_id", "tell")
+    texts = keep(docs.select("doc_id", tell(), "text").join(one, ["doc_id", "tell"]).select("class", "text"), "candidate-texts")
     best = stars.where("open").groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
     links = keep(verified(best, texts), "links")
     comp = components(links)
     rest = keep(with_components(stars.where("open").join(best, ["a", "b"], "left_anti"), comp, "a", "b").where("comp_a <> comp_b").select("a", "b"), "rest-pairs")
     if rest.limit(1).count():
         links = keep(links.union(verified(rest, texts)), "links")
+        release(comp)
         comp = components(links)
     # Where all that shares a signature with some class is connected, no link can be missing.
     placed = with_components(stars, comp, "a", "b")
@@ -423,8 +430,11 @@ def class_links(docs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFra
             more = keep(unresolved(rows, sketches, comp, width).join(tested, ["a", "b"], "left_anti"), "across-pairs")
             if more.limit(1).count():
                 links = keep(links.union(verified(more, texts)), "links")
+                release(comp)
                 comp, tested = components(links), keep(tested.union(more), "tested")
-    return links, comp
+        release(rows, sketches)
+    release(comp, stars, around, texts, rest)
+    return links
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -432,19 +442,29 @@ def near_groups(docs: DataFrame) -> DataFrame:
     bounded_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     members = keep(classes(docs), "classes")
-    known = members.where("doc_id is not null and class is not null").select("doc_id", "class").distinct()
-    _, comp = class_links(docs.where("doc_id is not null"), known)
+    known = members.where("doc_id is not null and class is not null")
+    carriers = keep(known.groupBy("class").agg(F.min(F.struct("doc_id", "tell")).alias("least"), F.count("*").alias("n")).select("class", "least.*", "n"), "carriers")
+    links = class_links(docs.where("doc_id is not null"), carriers)
     # A document whose rows differ has several classes: documents then connect classes, too.
     several = known.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("high")).where("a <> high")
-    extra = keep(several.select("doc_id", "a").join(known, "doc_id").where("class <> a").select("a", F.col("class").alias("b")), "same-document")
-    if extra.limit(1).count():
-        comp = components(extra.union(comp.select(F.col("comp").alias("a"), F.col("node").alias("b"))))
-    labelled = keep(with_components(members, comp, "class"), "labelled")
-    smallest = labelled.where("class is not null").groupBy("comp_class").agg(F.min("doc_id").alias("first"))
-    return labelled.join(smallest, "comp_class", "left").select("doc_id", "n_shingles", "class", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("first")).alias("component_id"))
+    extra = several.select("doc_id", "a").join(known.select("doc_id", "class").distinct(), "doc_id").where("class <> a").select("a", F.col("class").alias("b"))
+    # Each class goes by its smallest document, so that a component's smallest node is its smallest document.
+    first = carriers.select("class", F.col("doc_id").alias("first"))
+    edges = links.union(extra).join(first.select(F.col("class").alias("a"), F.col("first").alias("x")), "a").join(first.select(F.col("class").alias("b"), F.col("first").alias("y")), "b").where("x <> y")
+    comp = components(edges.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    least = keep(carriers.join(comp.select(F.col("node").alias("doc_id"), "comp"), "doc_id", "left").select("class", F.coalesce("comp", "doc_id").alias("component_id"), "n"), "class-components")
+    release(carriers, links, comp)
+    # A class with more than a HOT-th of all rows: there are fewer than HOT of them, so they are broadcast; no other class is large.
+    most = least.agg(F.sum("n")).head()[0] or 0
+    hot = least.where(F.col("n") * HOT > most).select("class", F.col("component_id").alias("hot_id"))
+    split = members.drop("tell").join(F.broadcast(hot), "class", "left")
+    cold = split.where("hot_id is null").join(least.where(F.col("n") * HOT <= most).select("class", "component_id"), "class", "left")
+    own = lambda found: F.when(F.col("class").isNull() | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col(found)).alias("component_id")
+    out = ["doc_id", "n_shingles", "class"]
+    return cold.select(*out, own("component_id")).union(split.where("hot_id is not null").select(*out, own("hot_id")))
 
 
 def op4_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of ``documents``: see the module."""
-    return near_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    return near_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 

@@ -21,9 +21,7 @@ def pack(h: np.ndarray, buckets: int, columns: Sequence[np.ndarray]) -> pa.Recor
     cut = np.concatenate((np.flatnonzero(np.diff(bucket, prepend=-1)), [len(bucket)])) if len(bucket) else np.zeros(1, np.int64)
     arrays = [pa.array(bucket[cut[:-1]], pa.int32())]
     for c in columns:
-        c = np.ascontiguousarray(c[order])
-        offsets = (cut * c.dtype.itemsize).astype(np.int32)
-        arrays.append(pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(c.tobytes())]))
+        arrays.append(binary(c[order], cut))
     return pa.RecordBatch.from_arrays(arrays, ["bucket", *(f"c{k}" for k in range(len(columns)))])
 
 
@@ -35,11 +33,25 @@ def unpack(column: pa.ChunkedArray, kind: str) -> np.ndarray:
     """All entries of a packed column."""
     parts = []
     for c in column.chunks:
+        if c.null_count:
+            c = c.drop_null()
         offsets = np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1] if len(c) else np.zeros(1, np.int32)
         parts.append(np.frombuffer((c.buffers()[2] or b""), np.uint8)[offsets[0] : offsets[-1]])
     return np.concatenate(parts).view(kind) if parts else np.empty(0, kind)
 
 
+def binary(values: np.ndarray, cut: np.ndarray) -> pa.Array:
+    """The bytes of values[cut[k] : cut[k + 1]], for every k."""
+    offsets = (np.asarray(cut) * values.dtype.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.ascontiguousarray(values).tobytes())])
+
+
+def repeated(v: np.ndarray) -> np.ndarray:
+    """Of a sorted array, which entries have an equal neighbour."""
+    same = v[1:] == v[:-1]
+    return np.concatenate((same, [False]))[: len(v)] | np.concatenate(([False], same))[: len(v)]
+
+
 def lengths(column: pa.ChunkedArray, size: int) -> np.ndarray:
     """How many entries each packed row has."""
     return np.concatenate([np.diff(np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1]) for c in column.chunks]) // size

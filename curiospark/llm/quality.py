@@ -14,7 +14,7 @@ features 0 and get a score like any other; without labels of both classes every
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -22,9 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .scan import NOT_SPACE, Words, ngrams, raw, slices, words
-from .shared import bounded_batches, table
+from .shared import bounded_batches, column, table
 
 MOST_LABELS = 50_000
 THRESHOLD = 0.3
@@ -209,28 +210,29 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> Gam:
                 x = np.ascontiguousarray(features(texts))
                 yield pa.RecordBatch.from_arrays([batch.column("y").slice(first, len(texts)), pa.array([r.tobytes() for r in x], pa.binary())], ["y", "x"])
 
-    got = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "y").mapInArrow(run, "y double, x binary").toArrow()
+    # One text of each labelled id, so that repeated ids can't add up to more rows than ``most``.
+    least = docs.select("doc_id", F.xxhash64("text").alias("tell")).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "y").agg(F.min("tell").alias("tell"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("tell"), "text").join(F.broadcast(least), ["doc_id", "tell"]).dropDuplicates(["doc_id"]).select("text", "y")
+    got = rows.mapInArrow(run, "y double, x binary").toArrow()
     x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float64).reshape(-1, len(FEATURES))
     y = got["y"].to_numpy()
     order = np.lexsort((y, *x.T))  # the same model whatever the order of rows
     return fit(x[order], y[order])
 
 
-def score(docs: DataFrame, model: Gam, carry: list[str]) -> DataFrame:
-    """The columns ``carry`` of ``docs`` and the score of every text."""
+def score(docs: DataFrame, model: Gam, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """carried (a struct of the columns ``carry``) and the score of every text."""
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.select(*carry).schema
-    names = [*carry, "score"]
+    own = docs.select(F.struct(*(column(c) for c in carry)).alias("carried"), F.col("text").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, texts in slices(batch.column("__text")):
+            for first, texts in slices(batch.column("_text")):
                 s = shared.value.score(features(texts))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(first, len(texts)) for c in carry), pa.array(s)], names)
+                yield pa.RecordBatch.from_arrays([batch.column("carried").slice(first, len(texts)), pa.array(s)], ["carried", "score"])
 
-    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in schema] + ["score double"])
-    return docs.select(*carry, F.col("text").alias("__text")).mapInArrow(run, ddl)
+    return own.mapInArrow(run, T.StructType([own.schema["carried"], T.StructField("score", T.DoubleType())]))
 
 
 def accepted(column: str = "score", threshold: float = THRESHOLD) -> Column:
@@ -241,4 +243,4 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every text of ``documents`` for quality: see the module."""
     docs = table(spark, sf_dir, "documents")
     model = train(docs, table(spark, sf_dir, "labels"))
-    return score(docs, model, ["doc_id"]).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", accepted().cast("int").alias("predicted"))
+    return score(docs, model).select("carried.doc_id", held_out(F.col("carried.doc_id")).alias("held_out"), "score", accepted().cast("int").alias("predicted"))

@@ -5,16 +5,19 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ARROW_BYTES = "8m"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where none is set (tests, one machine)."""
+    """The folder of spark.checkpoint.dir; a temporary one where none is set and all runs on this machine (tests), else an error."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="curiospark-")
         sc.setCheckpointDir(found)
     return f"{found.rstrip('/')}/curiospark-{sc.applicationId}"
@@ -28,7 +31,15 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: a lost executor then costs no recomputation."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept._kept_at = path
+    return kept
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables that ``keep`` gave, once nothing reads them any more."""
+    for df in tables:
+        drop_path(df.sparkSession, df._kept_at)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -49,3 +60,18 @@ def bounded_batches(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def column(name: str) -> Column:
+    """A column by its exact name, whatever letters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def text_bytes(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+
+
+def spread_over(df: DataFrame, size: int, *keys: Column | str) -> DataFrame:
+    """Deal rows by ``keys`` to more tasks than the session's shuffles have where ``size`` bytes need them (128 MB each)."""
+    tasks = size >> 27
+    return df.repartition(tasks, *keys) if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(*keys)

@@ -48,19 +48,76 @@ def test_substrings(docs, none):
     assert substrings.dedup_substrings(none).count() == 0
 
 
-def test_windows_are_told_apart_by_all_bits(monkeypatch):
-    def apart_by_high_bits(w):
-        start, doc, h, place = whole(w)
-        return start, doc, np.arange(len(h), dtype=np.uint64) % np.uint64(41) << np.uint64(40), place
-
-    whole = substrings.anchors
-    texts = pa.array([" ".join(WORDS[:60])] * 2, pa.large_string())
-    args = np.array([3, 70_000], np.int64), np.zeros(2, np.uint8), np.array([5, 6], np.int64), texts, 1
-    monkeypatch.setattr(substrings, "anchors", apart_by_high_bits)
-    found = substrings.factor(pa.Table.from_batches([substrings.deal(*args)])).to_pylist()
-    assert {(r["doc_id"], r["tell"], r["source"]) for r in found} == {(70_000, 6, 3)}
-    assert sorted(k for r in found for k in range(r["start"], r["start"] + r["windows"])) == list(range(41))
-    assert all(r["start"] == r["source_start"] for r in found)
+def removed_by_brute_force(rows):
+    """Of rows (id, text): how many words go, by row; rows with one id are one document."""
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
+    first = {}
+    for k in order:
+        w = split(rows[k][1])
+        for i in range(len(w) - 19):
+            name, place = tuple(w[i : i + 20]), (rows[k][0] is None, rows[k][0] or 0, i)
+            first[name] = min(first.get(name, place), place)
+    out = []
+    for doc_id, t in rows:
+        w, gone = split(t), set()
+        for i in range(len(w) - 19):
+            if first[tuple(w[i : i + 20])] < (doc_id is None, doc_id or 0, i):
+                gone.update(range(i, i + 20))
+        out.append((doc_id, len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)))
+    return sorted(out, key=str)
+
+
+def many_repeats():
+    r = random.Random(4)
+    passages = [" ".join(r.choice(WORDS) for _ in range(n)) for n in (19, 20, 21, 45, 90)]
+    rows = []
+    for k in range(120):
+        parts = [r.choice(passages) if r.random() < 0.6 else " ".join(r.choice(WORDS) for _ in range(r.randrange(30))) for _ in range(r.randrange(6))]
+        rows.append((r.choice([None, *range(90)]), " ".join(parts)))
+    return rows + [rows[0], rows[5], (7, None), (None, ""), (-4, rows[8][1])]
+
+
+@pytest.mark.parametrize("fan, slice_bytes", [(4096, 1 << 23), (2, 300)])
+def test_substrings_of_repeated_and_null_ids(spark, fan, slice_bytes):
+    rows = many_repeats()
+    clash = [(k, t, "a", 1.0, 2, "b", None, "d") for k, t in rows]
+    table = spark.createDataFrame(clash, "doc_id long, text string, kept string, tell double, spans int, t string, factors string, `a b.c` string").repartition(5)
+    found = substrings.dedup_substrings(table, ("kept", "tell", "spans", "t", "factors", "a b.c"), fan=fan, slice_bytes=slice_bytes).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in found), key=str) == removed_by_brute_force(rows)
+    assert {tuple(r.carried) for r in found} == {("a", 1.0, 2, "b", None, "d")}
+    texts = {}
+    for k, t in rows:
+        texts.setdefault(k, []).append(split(t))
+    for r in found:  # every factor also stands at its source, which is earlier
+        for f in r.factors:
+            assert (f.source is None, f.source or 0, f.source_start) < (r.doc_id is None, r.doc_id or 0, f.start) and f.words >= 20
+            assert any(own[f.start : f.start + f.words] == other[f.source_start : f.source_start + f.words] for own in texts[r.doc_id] for other in texts[f.source])
+
+
+def test_factors_are_the_longest_earlier_runs():
+    r = np.random.default_rng(2)
+    key, run = r.integers(0, 3, 400).astype(np.uint64), np.repeat(np.arange(50), 8)
+    rank = np.arange(400) // 2
+    begin, size, source, _ = substrings.factor(key, run, rank)
+    at = 0
+    for a, n, c in [*zip(begin, size, source), (400, 0, 0)]:
+        for i in range(at, a):  # no factor starts at a window that is left out
+            assert not any(key[j] == key[i] and rank[j] < rank[i] for j in range(400))
+        if n:
+            reach = lambda i, j: next((m for m in range(8) if max(i, j) + m >= 400 or run[i + m] != run[i] or run[j + m] != run[j] or key[i + m] != key[j + m]), 8)
+            assert rank[c] < rank[a] and n == max(reach(a, j) for j in range(400) if rank[j] < rank[a]) == reach(a, c)
+        at = a + n
+
+
+def test_dealt_bytes_stay_in_proportion():
+    """Bytes dealt for a slice, by the number of blocks: at most half more at a hundred times as many."""
+    r = random.Random(9)
+    texts = [" ".join(r.choice(WORDS) + r.choice(WORDS) for _ in range(150)) for _ in range(600)]
+    array, n = pa.array(texts, pa.large_string()), sum(map(len, texts))
+    ids, null, tells = np.arange(600), np.zeros(600, np.uint8), np.arange(600).astype(np.uint32)
+    for dealt in (lambda k: substrings.deal(ids, null, tells, array, k, 67), lambda k: [near.deal(array, k)]):
+        few, many = (sum(b.nbytes for b in dealt(k)) / n for k in (64, 6400))
+        assert many < 2 and many < 1.6 * few
 
 
 def test_near_groups(docs, none):
@@ -117,8 +174,8 @@ def test_token_files(docs, none):
 
 def test_decontaminate(spark, docs, none):
     bench = spark.createDataFrame([(1, BASE[2]), (2, "w1 w2"), (3, None), (4, ""), (5, BASE[2]), (None, "zz")], "item_id long, text string")
-    one = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontaminate.decontaminate(docs, bench).collect()}
-    many = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontaminate.decontaminate(docs, bench, most=1).collect()}
+    one = {r.carried.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontaminate.decontaminate(docs, bench).collect()}
+    many = {r.carried.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontaminate.decontaminate(docs, bench, most=1).collect()}
     assert one == many
     assert one[6][:2] == (60, 60) and {"1", "5"} <= set(one[6][2]) and one[0] == (0, 0, [])
     assert decontaminate.decontaminate(none, bench).count() == 0
@@ -150,8 +207,8 @@ def test_quality(spark, docs, none):
     y = (x[:, 0] > x[:, 1]).astype(float)
     assert ((quality.fit(x, y).score(x) > 0.5) == y).mean() > 0.95
     labels = spark.createDataFrame([(k, k % 2, 0) for k in range(8)], "doc_id long, quality int, toxic int")
-    assert quality.score(docs, quality.train(docs, labels), ["doc_id"]).where("score between 0 and 1").count() == len(TEXTS)
-    assert quality.score(none, quality.train(none, labels), ["doc_id"]).count() == 0
+    assert quality.score(docs, quality.train(docs, labels)).where("score between 0 and 1").count() == len(TEXTS)
+    assert quality.score(none, quality.train(none, labels)).count() == 0
 
 
 def test_language_model(docs, none):

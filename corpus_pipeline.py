@@ -17,7 +17,7 @@ from curiospark.llm.token_files import tokenizer_path
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     scored = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")), docs.columns)
-    return scored.where(quality.accepted()).select(*docs.columns)
+    return scored.where(quality.accepted()).select("carried.*")
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,16 +29,17 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words in repeats of earlier passages go; documents of which nothing is left stay, empty."""
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    changed = substrings.dedup_substrings(docs, others).withColumn("text", F.col("kept"))
-    if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.length("kept").cast(docs.schema["n_chars"].dataType))
-    return changed.select(*docs.columns)
+    changed = substrings.dedup_substrings(docs, others)
+    own = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": F.col("kept")}
+    if "n_chars" in others:
+        own["n_chars"] = F.length("kept").cast(docs.schema["n_chars"].dataType)
+    return changed.select(*(own.get(c, F.col("carried")[c]).alias(c) for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold passages of two benchmark items or more go."""
-    found = decontaminate.contaminated(decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), carry=docs.columns))
-    return found.where(~F.col("contaminated")).select(*docs.columns)
+    """Documents that hold a passage of any benchmark item go."""
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), carry=docs.columns)
+    return found.where("n_hit = 0").select("carried.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

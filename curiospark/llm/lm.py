@@ -9,8 +9,8 @@ place being that of all unknown words; so the probabilities of the known words a
 sum to one.
 
 Corpus counts come from all training texts, and so does the neural part: texts are dealt to ``ROUNDS`` parts by a
-hash, in each round every task learns from its texts of that part, starting from the last round's average, and the
-vectors are averaged by the tokens that they saw. Counts of the words above a threshold that keeps them within
+hash, and each part to shards; in each round every shard learns from its texts in the order of their hashes, starting from the last round's
+average, and the vectors are averaged by the tokens that they saw. So scores don't depend on how rows lie in files. Counts of the words above a threshold that keeps them within
 ``HEAD`` are broadcast; the other words' counts are joined, so that nothing broadcast grows with the input.
 
 Defined cases: null and empty texts consist of the end alone; null ids count as held out; rows with equal ids are
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .packed import pack, schema, unpack
 from .scan import NOT_SPACE, Words, mix, slices, words
-from .shared import bounded_batches, keep, table
+from .shared import bounded_batches, keep, spread_over, table, text_bytes
 
 FREQUENT, RARE, SIZE, NOISE, BATCH, ROUNDS = 895, 128, 24, 32, 4096, 2
 SYMBOLS = 1 + FREQUENT + RARE
@@ -52,10 +52,9 @@ def rare_class(w: Words) -> np.ndarray:
     return (kind * (RARE // 4) + (mix(a * np.uint64(257) + b) % np.uint64(RARE // 4)).astype(np.int64)).astype(np.uint8)
 
 
-def buckets_for(docs: DataFrame) -> int:
-    """About 2 MB of text to a bucket; at least some hundred, at most what rows of a shuffle pay for."""
-    size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    return int(min(max(256, size >> 21), 1 << 16))
+def buckets_for(size: int) -> int:
+    """A bucket for 16 MB of text, whatever the input's size."""
+    return max(256, size >> 24)
 
 
 def word_counts(docs: DataFrame, buckets: int) -> DataFrame:
@@ -76,7 +75,7 @@ def word_counts(docs: DataFrame, buckets: int) -> DataFrame:
         return pa.table({"hash": h.view(np.int64), "cls": cls[first].astype(np.int32), "n": total})
 
     train = docs.where(~held_out(F.col("doc_id"))).select("text")
-    return train.mapInArrow(spread, schema(3)).groupBy("bucket").applyInArrow(add, "hash long, cls int, n long")
+    return spread_over(train.mapInArrow(spread, schema(3)), buckets << 24, "bucket").groupBy("bucket").applyInArrow(add, "hash long, cls int, n long")
 
 
 class Vocabulary:
@@ -114,8 +113,8 @@ class Vocabulary:
 def vocabulary(counts: DataFrame) -> tuple[Vocabulary, int]:
     """Broadcastable part of the counts, and the count from which on words are in it."""
     whole = counts.agg(F.sum("n"), F.count("*")).head()
-    # Words by count: few rows, as most words have small counts.
-    sizes = counts.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.desc("n"))
+    # Words by count: at most HEAD + 1 of these rows come to the driver, as each stands for a word or more.
+    sizes = counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n"))
     least, held = 1, 0
     for row in sizes.toLocalIterator():
         held += row.words
@@ -209,32 +208,42 @@ def gather(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     into[sorted_rows[first]] += np.add.reduceat(values[order], first, axis=0)
 
 
-def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> LogBilinear:
-    """One pass over every training text, in ``rounds`` rounds of parallel learning and averaging."""
+def shards_for(size: int) -> int:
+    """A shard for 16 MB of text."""
+    return max(16, size >> 24)
+
+
+def train(docs: DataFrame, vocab: Vocabulary, shards: int, rounds: int = ROUNDS) -> LogBilinear:
+    """One pass over every training text, in ``rounds`` rounds of parallel learning and averaging.
+
+    A shard learns from the texts that a hash deals to it, in the order of another, so that nothing depends on how rows lie in files.
+    """
     spark = docs.sparkSession
     model = LogBilinear(vocab.unigram)
     keys = ("near", "far", "target", "bias")
     shared_vocab = spark.sparkContext.broadcast(vocab)
+    place = F.xxhash64("text", F.col("doc_id").cast("string"))
     for k in range(rounds):
-        part = docs.where(~held_out(F.col("doc_id")) & (F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == k)).select("text")
+        part = docs.where(~held_out(F.col("doc_id"))).select(F.pmod(place, F.lit(rounds * shards)).cast("int").alias("shard"), place.alias("place"), "text")
+        part = spread_over(part.where(F.pmod("shard", F.lit(rounds)) == k), shards << 24, "shard").sortWithinPartitions("shard", "place", "text")
         shared = spark.sparkContext.broadcast(model)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, k=k) -> Iterator[pa.RecordBatch]:
-            own, rng, seen = LogBilinear(shared.value.noise), np.random.default_rng(k), 0
-            own.parts = {x: v.copy() for x, v in shared.value.parts.items()}
-            state = {x: np.full_like(v, 1e-4 if x != "bias" else 1e-2) for x, v in own.parts.items()}
-            for batch in batches:
-                for _, texts in slices(batch.column("text"), BIG_SLICE):
-                    w = words(texts, NOT_SPACE, lower=True)
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for shard, texts in by_shard(batches):
+                own, rng, seen = LogBilinear(shared.value.noise), np.random.default_rng(shard), 0
+                own.parts = {x: v.copy() for x, v in shared.value.parts.items()}
+                state = {x: np.full_like(v, 1e-4 if x != "bias" else 1e-2) for x, v in own.parts.items()}
+                for some in texts:
+                    w = words(some, NOT_SPACE, lower=True)
                     s, a, b, _ = sequences(w, shared_vocab.value.look_up(w)[0])
                     own.learn(s, a, b, state, rng)
                     seen += len(s)
-            if seen:
                 flat = np.concatenate([own.parts[x].ravel() for x in keys]).reshape(-1, 64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(np.full(len(flat), seen), pa.int64()), pa.array(list(flat.astype(np.float64)), pa.list_(pa.float64()))], ["at", "seen", "v"])
 
         def average(values):
-            return [(F.sum(F.col("v")[i] * F.col("seen")) / F.sum("seen")).alias(f"v{i}") for i in values]
+            # Rounded, as sums of doubles depend on their order in the last digits.
+            return [F.round(F.sum(F.col("v")[i] * F.col("seen")) / F.sum("seen"), 6).alias(f"v{i}") for i in values]
 
         got = part.mapInArrow(run, "at int, seen long, v array<double>").groupBy("at").agg(*average(range(64))).orderBy("at").toArrow()
         if not got.num_rows:
@@ -249,6 +258,30 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> LogBiline
     return model
 
 
+def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[pa.Array]]]:
+    """(shard, its texts, about BIG_SLICE at a time, cut alike however the batches fall); rows come in the order of shards."""
+    rows = ((int(batch.column("shard")[a].as_py()), batch.column("text").slice(a, b - a)) for batch in batches for a, b in _stretches(batch.column("shard").to_numpy()))
+    held: list = [next(rows, None)]
+
+    def texts(shard: int) -> Iterator[pa.Array]:
+        rest = None
+        while held[0] is not None and held[0][0] == shard:
+            new = held[0][1].cast(pa.large_string()).fill_null("")
+            rest = pa.concat_arrays([rest, new]) if rest is not None else new
+            held[0] = next(rows, None)
+            *whole, (_, rest) = slices(rest, BIG_SLICE)
+            yield from (x for _, x in whole)
+        yield rest
+
+    while held[0] is not None:
+        yield held[0][0], texts(held[0][0])
+
+
+def _stretches(v: np.ndarray) -> list[tuple[int, int]]:
+    cut = np.flatnonzero(np.append(True, v[1:] != v[:-1]))[: len(v)].tolist()
+    return list(zip(cut, [*cut[1:], len(v)]))
+
+
 LOCAL = "doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_part double, score_part double, tail array<struct<hash:long,cls:int,n:int>>"
 
 
@@ -302,9 +335,10 @@ def score(docs: DataFrame, vocab: Vocabulary, model: LogBilinear, counts: DataFr
 def score_corpus(docs: DataFrame) -> DataFrame:
     """Count, learn and score."""
     bounded_batches(docs.sparkSession)
-    counts = keep(word_counts(docs, buckets_for(docs)), "lm-counts")
+    size = text_bytes(docs)
+    counts = keep(word_counts(docs, buckets_for(size)), "lm-counts")
     vocab, least = vocabulary(counts)
-    return score(docs, vocab, train(docs, vocab), counts, least)
+    return score(docs, vocab, train(docs, vocab, shards_for(size)), counts, least)
 
 
 def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

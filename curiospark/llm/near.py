@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .packed import binary, lengths, repeated, unpack
+from .packed import binary, in_order, lengths, repeated, unpack
 from .scan import NOT_SPACE, Words, mix, ngrams, slices, words
 from .shared import bounded_batches, keep, release, spread_over, table, text_bytes
 
@@ -180,7 +180,8 @@ def deal(texts: pa.Array, buckets: int) -> pa.RecordBatch | None:
     needed = np.full(len(classes), 1 << 30)
     sig, at = signatures(list(classes.values()), needed=needed)
     bucket = ((sig >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((at, bucket))
+    order = in_order(at, len(classes))
+    order = order[in_order(bucket[order], buckets)]
     bucket, sig, at = bucket[order], sig[order], at[order]
     cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
     new = np.append(True, (bucket[1:] != bucket[:-1]) | (at[1:] != at[:-1]))[: len(at)]

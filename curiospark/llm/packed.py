@@ -40,6 +40,16 @@ def unpack(column: pa.ChunkedArray, kind: str) -> np.ndarray:
     return np.concatenate(parts).view(kind) if parts else np.empty(0, kind)
 
 
+def in_order(v: np.ndarray, most: int) -> np.ndarray:
+    """A stable order of integers from 0 to ``most``, by 16 bits at a time."""
+    order = np.argsort((v & 0xFFFF).astype(np.uint16), kind="stable")
+    shift = 16
+    while most >> shift:
+        order = order[np.argsort(((v[order] >> shift) & 0xFFFF).astype(np.uint16), kind="stable")]
+        shift += 16
+    return order
+
+
 def binary(values: np.ndarray, cut: np.ndarray) -> pa.Array:
     """The bytes of values[cut[k] : cut[k + 1]], for every k."""
     offsets = (np.asarray(cut) * values.dtype.itemsize).astype(np.int32)

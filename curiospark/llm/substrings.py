@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .packed import binary, repeated, unpack
+from .packed import binary, in_order, repeated, unpack
 from .scan import NOT_SPACE, Words, mix, ngrams, slices, words
 from .shared import bounded_batches, column, spread_over, table, text_bytes
 
@@ -170,7 +170,7 @@ def settle(runs: np.ndarray, key: np.ndarray, targets: int, buckets: int | None,
     out = runs[run[new]]
     out["place"], out["size"] = place[new], np.diff(np.append(new, len(run)))
     bucket = (mix(out["anchor"].astype(np.uint64)) >> np.uint64(20)).astype(np.int64) % buckets
-    order = np.argsort(bucket, kind="stable")
+    order = in_order(bucket, buckets)
     bucket, out = bucket[order], out[order]
     size = out["size"].astype(np.int64)
     ends = np.cumsum(size)

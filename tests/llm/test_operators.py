@@ -1,13 +1,16 @@
 """Operators against brute force on small tables: nulls, empty texts, repeated rows, empty tables, other columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from curiospark.llm import bpe, decontaminate, licenses, lm, near, quality, substrings, token_files, topk, warc
@@ -173,22 +176,45 @@ def test_token_files(docs, none):
 
 
 def test_decontaminate(spark, docs, none):
-    bench = spark.createDataFrame([(1, BASE[2]), (2, "w1 w2"), (3, None), (4, ""), (5, BASE[2]), (None, "zz")], "item_id long, text string")
-    one = {r.carried.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontaminate.decontaminate(docs, bench).collect()}
-    many = {r.carried.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontaminate.decontaminate(docs, bench, most=1).collect()}
-    assert one == many
-    assert one[6][:2] == (60, 60) and {"1", "5"} <= set(one[6][2]) and one[0] == (0, 0, [])
-    assert decontaminate.decontaminate(none, bench).count() == 0
+    items = [(1, BASE[2]), (2, "w1 w2"), (3, None), (4, ""), (5, BASE[2]), (None, "zz"), (6, "W1! w2..."), (11, BASE[4][300:500])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    alnum = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    windows = {}
+    for k, t in items:
+        w = alnum(t)
+        for i in range(max(1, len(w) - 7) if w else 0):
+            windows.setdefault(tuple(w[i : i + 8]), set()).add(k)
+    want = {}
+    for k, t in enumerate(TEXTS):
+        w, hit, found = alnum(t), set(), set()
+        for name, ids in windows.items():
+            for i in range(len(w) - len(name) + 1):
+                if tuple(w[i : i + len(name)]) == name:
+                    hit.update(range(i, i + len(name)))
+                    found |= ids - {None}
+        bits = bytes(np.packbits([i in hit for i in range(len(w))])) if hit else b""
+        want[k] = (len(w), len(hit), sorted(map(str, found)), bits)
+    for most in (200_000, 7, 1):
+        got = decontaminate.decontaminate(docs, bench, most=most, carry=("doc_id", "n_words", "spans")).collect()
+        assert {r.carried.doc_id: (r.n_words, r.n_hit, r["items"], bytes(r.hits)) for r in got} == want
+    assert decontaminate.decontaminate(none, bench).count() == 0 and decontaminate.decontaminate(docs, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
 def test_top_k(spark):
     r = np.random.default_rng(1)
     rows = [(k, r.standard_normal(8).tolist(), "x") for k in range(300)] + [(300 + k, [0.5] * 8, "x") for k in range(40)]
-    rows += [(900, None, "x"), (901, [1.0, None] * 4, "x"), (902, [float("nan")] * 8, "x"), (950, [1.0], "x")]
-    v = topk.integers(spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string"))
-    good = {k: np.floor(np.array(x) * 256).astype(int) for k, x, _ in rows if k < 900}
-    want = {(q, n + 1, c, -s) for q in good if q % 50 == 0 for n, (s, c) in enumerate(sorted((-int(good[q] @ good[c]), c) for c in good if c != q)[:5])}
-    assert {tuple(x) for x in topk.top_k(v, v.where("vec_id % 50 = 0")).collect()} == want
+    rows += [(0, [0.25] * 8, "x"), (50, rows[50][1], "x"), (7, rows[7][1], "x"), (400, [1e300, -1e300] * 4, "x"), (401, [3e9] * 8, "x"), (450, [-2e14, 2e14] * 4, "x")]
+    bad = [(900, None, "x"), (901, [1.0, None] * 4, "x"), (902, [float("nan")] * 8, "x"), (903, [float("-inf")] * 8, "x"), (950, [1.0], "x"), (None, [0.1] * 8, "x")]
+    v = topk.integers(spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>, score string"))
+    clamp = lambda x: max(-topk.LIMIT, min(topk.LIMIT, x))
+    good = [(k, [clamp(math.floor(min(max(256 * y, -1e300), 1e300))) for y in x]) for k, x, _ in rows]
+    want = []
+    for i, (q, x) in enumerate(good):
+        if q % 50 == 0:
+            found = sorted((-clamp(sum(a * b for a, b in zip(x, y))), c) for j, (c, y) in enumerate(good) if j != i)[:5]
+            want += [(q, n + 1, c, -s) for n, (s, c) in enumerate(found)]
+    for block in (4096, 3):
+        assert sorted(tuple(x) for x in topk.top_k(v, v.where("vec_id % 50 = 0"), block=block).collect()) == sorted(want)
     assert topk.top_k(v.limit(0), v.limit(0)).count() == 0
 
 
@@ -211,12 +237,34 @@ def test_quality(spark, docs, none):
     assert quality.score(none, quality.train(none, labels)).count() == 0
 
 
-def test_language_model(docs, none):
-    got = lm.score_corpus(docs).collect()
-    assert len(got) == len(TEXTS) and all(r.n_tokens == len(split(TEXTS[r.doc_id])) + 1 and r.score < 0 for r in got)
+def test_language_model(spark, docs, none):
+    rows = [*enumerate(TEXTS), (None, BASE[1]), (3, BASE[2]), (3, "w1 w2")]
+    fold = lambda k: k is None or zlib.crc32(str(k).encode()) % 7 == 2
+    seen = Counter(t for k, x in rows if not fold(k) for t in [*split(x, True), None])
+    total, places = sum(seen.values()), sum(seen.values()) + len(seen) + 1
+    want = []
+    for k, x in rows:
+        own = [*split(x, True), None]
+        want.append((str(k), fold(k), len(own), sum(seen[t] > 0 for t in own), total, round(sum(math.log10((seen[t] + 1) / places) for t in own), 6)))
+    table = spark.createDataFrame([(k, x, 1) for k, x in rows], "doc_id long, text string, score int")
+    got = lm.score_corpus(table).collect()
+    assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == sorted(want)
+    assert all(r.score < 0 for r in got)
+    other = lm.score_corpus(table.orderBy(F.desc("doc_id")).repartition(3)).collect()
+    assert sorted((str(r.doc_id), r.n_tokens, round(r.score, 6)) for r in got) == sorted((str(r.doc_id), r.n_tokens, round(r.score, 6)) for r in other)
     assert lm.score_corpus(none).count() == 0
 
 
+def test_language_model_is_normalised():
+    r = np.random.default_rng(5)
+    model = lm.LogBilinear(np.full(lm.SYMBOLS, 1 / lm.SYMBOLS))
+    s, a, b = (r.integers(0, lm.SYMBOLS, 9000) for _ in range(3))
+    model.learn(s, a, b, {k: np.full_like(v, 1e-3) for k, v in model.parts.items()}, r)
+    normal, every = model.normaliser(), np.arange(lm.SYMBOLS)
+    for near, far in ((0, 0), (5, 900), (1023, 17)):
+        assert abs(sum(10 ** model.log10(every, np.full(lm.SYMBOLS, near), np.full(lm.SYMBOLS, far), normal)) - 1) < 1e-4
+
+
 def test_licenses(spark, none):
     rows = [(k, f"text\n{n}.\n", c) for c, notices in licenses.NOTICES.items() for k, n in enumerate(notices)] + [(9, t, None) for t in licenses.NEAR_MISSES] + [(9, None, None), (9, "", None)]
     for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string, family string")).collect():

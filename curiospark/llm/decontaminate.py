@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .scan import ALNUM, Words, mix, slices, words
-from .shared import bounded_batches, column, keep, table
+from .shared import bounded_batches, column, keep, table, tidy
 
 WIDTH = 8
 MOST_PATTERNS = 200_000
@@ -130,13 +130,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, mos
     blocks = pattern_blocks(benchmark, width, most)
     block, following = next(blocks), next(blocks, None)
     if following is None:
-        found = own.mapInArrow(_search(spark.sparkContext.broadcast(block), "carried"), _with(FOUND, own, "carried"))
+        found = own.mapInArrow(tidy(_search(spark.sparkContext.broadcast(block), "carried")), _with(FOUND, own, "carried"))
         return found.withColumn("n_hit", _ones(F.col("hits")))
     # Every block's hits go by a row's number, so that texts are written once, whatever the number of blocks.
     own = keep(own.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
     texts, parts = own.select("row", "_text"), []
     while block is not None:
-        hits = texts.mapInArrow(_search(spark.sparkContext.broadcast(block), "row"), _with(FOUND, texts, "row"))
+        hits = texts.mapInArrow(tidy(_search(spark.sparkContext.broadcast(block), "row")), _with(FOUND, texts, "row"))
         parts.append(keep(hits.where("length(hits) > 0") if parts else hits, "decontaminate-hits"))
         block, following = following, next(blocks, None)
     both = functools.reduce(DataFrame.unionAll, parts).groupBy("row").agg(F.max("n_words").alias("n_words"), F.collect_list("hits").alias("parts"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))

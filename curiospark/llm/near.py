@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .packed import binary, in_order, lengths, repeated, unpack
 from .scan import NOT_SPACE, Words, mix, ngrams, slices, words
-from .shared import bounded_batches, keep, release, spread_over, table, text_bytes
+from .shared import bounded_batches, give_back, keep, release, spread_over, table, text_bytes, tidy
 
 SHINGLE, PERCENT, SPARE, LEVELS = 5, 80, 1.15, 4
 WIDER = 1.25
@@ -220,6 +220,7 @@ def _members(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _stars(group: pa.Table) -> pa.Table:
     """Each class b with the smallest class a that shares a signature, how many such signatures, and what b needs; a itself, too."""
+    give_back()
     sig, node, needed = _members(group)
     first = np.searchsorted(sig, sig)
     order = np.lexsort((node, node[first]))
@@ -241,7 +242,7 @@ def dealt(docs: DataFrame, buckets: int) -> DataFrame:
                 if (found := deal(texts, buckets)) is not None:
                     yield found
 
-    return docs.select("text").mapInArrow(run, "bucket int, entries binary, classes binary")
+    return docs.select("text").mapInArrow(tidy(run), "bucket int, entries binary, classes binary")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -255,7 +256,7 @@ def classes(docs: DataFrame) -> DataFrame:
                 names = pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(first, len(texts)) for c in ("doc_id", "tell")), pa.array([len(s) for s in sets], pa.int64()), names], ["doc_id", "tell", "n_shingles", "class"])
 
-    return docs.select("doc_id", tell(), "text").mapInArrow(run, f"doc_id {kind}, tell long, n_shingles long, class long")
+    return docs.select("doc_id", tell(), "text").mapInArrow(tidy(run), f"doc_id {kind}, tell long, n_shingles long, class long")
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -292,7 +293,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
 
-    return hubs.unionByName(spokes).repartition("a", "task").sortWithinPartitions("a", "task", F.col("b").asc_nulls_first()).drop("task").mapInArrow(run, "a long, b long")
+    return hubs.unionByName(spokes).repartition("a", "task").sortWithinPartitions("a", "task", F.col("b").asc_nulls_first()).drop("task").mapInArrow(tidy(run), "a long, b long")
 
 
 def with_components(frame: DataFrame, comp: DataFrame, *columns: str) -> DataFrame:
@@ -372,9 +373,9 @@ def shared_signatures(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
                 yield pa.RecordBatch.from_arrays([batch.column("class").slice(first, len(part)), pa.array([len(s) for s in sets], pa.int64()), pa.array(needed, pa.int64()), pa.array([parities(s) for s in sets], pa.binary())], ["node", "size", "needed", "parity"])
 
     texts = texts.select("class", "text")
-    rows = keep(texts.mapInArrow(run, "sig long, node long"), "signatures")
+    rows = keep(texts.mapInArrow(tidy(run), "sig long, node long"), "signatures")
     several = rows.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("sig")
-    return keep(rows.join(several, "sig").distinct(), "shared-signatures"), keep(texts.mapInArrow(sketch, "node long, size long, needed long, parity binary"), "sketches")
+    return keep(rows.join(several, "sig").distinct(), "shared-signatures"), keep(texts.mapInArrow(tidy(sketch), "node long, size long, needed long, parity binary"), "sketches")
 
 
 def unresolved(rows: DataFrame, sketches: DataFrame, comp: DataFrame, width: int) -> DataFrame:

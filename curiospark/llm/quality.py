@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .scan import NOT_SPACE, Words, ngrams, raw, slices, words
-from .shared import bounded_batches, column, table
+from .shared import bounded_batches, column, table, tidy
 
 MOST_LABELS = 50_000
 THRESHOLD = 0.3
@@ -213,7 +213,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> Gam:
     # One text of each labelled id, so that repeated ids can't add up to more rows than ``most``.
     least = docs.select("doc_id", F.xxhash64("text").alias("tell")).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "y").agg(F.min("tell").alias("tell"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("tell"), "text").join(F.broadcast(least), ["doc_id", "tell"]).dropDuplicates(["doc_id"]).select("text", "y")
-    got = rows.mapInArrow(run, "y double, x binary").toArrow()
+    got = rows.mapInArrow(tidy(run), "y double, x binary").toArrow()
     x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float64).reshape(-1, len(FEATURES))
     y = got["y"].to_numpy()
     order = np.lexsort((y, *x.T))  # the same model whatever the order of rows
@@ -232,7 +232,7 @@ def score(docs: DataFrame, model: Gam, carry: Sequence[str] = ("doc_id",)) -> Da
                 s = shared.value.score(features(texts))
                 yield pa.RecordBatch.from_arrays([batch.column("carried").slice(first, len(texts)), pa.array(s)], ["carried", "score"])
 
-    return own.mapInArrow(run, T.StructType([own.schema["carried"], T.StructField("score", T.DoubleType())]))
+    return own.mapInArrow(tidy(run), T.StructType([own.schema["carried"], T.StructField("score", T.DoubleType())]))
 
 
 def accepted(column: str = "score", threshold: float = THRESHOLD) -> Column:

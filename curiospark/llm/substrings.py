@@ -34,10 +34,10 @@ from pyspark.sql import types as T
 
 from .packed import binary, in_order, repeated, unpack
 from .scan import NOT_SPACE, Words, mix, ngrams, slices, words
-from .shared import bounded_batches, column, spread_over, table, text_bytes
+from .shared import bounded_batches, column, give_back, spread_over, table, text_bytes, tidy
 
 WINDOW, ANCHOR = 20, 8
-SLICE = 1 << 23
+SLICE = 1 << 22
 PLACE_BITS = 26
 FAN = 4096
 #: What is dealt to blocks: a run of windows under one anchor (null: 1 for a null id), and its windows' hashes apart.
@@ -211,6 +211,7 @@ def meet(targets: int, buckets: int | None):
         bucket, number = group["bucket"][0].as_py(), group["slice"][0].as_py()
         if bucket < 0:
             return group
+        give_back()
         found = list(settle(unpack(group["runs"], RUN), unpack(group["windows"], "<u8"), targets, buckets, number))
         return pa.Table.from_batches(found, group.schema) if found else group.slice(0, 0)
 
@@ -249,7 +250,7 @@ def spans(rows: DataFrame, size: int, fan: int = FAN, slice_bytes: int = SLICE)
                 yield from deal(ids[part], null[part], tells[part], texts, buckets, targets, (task << 24) + k)
                 k += 1
 
-    dealt = rows.select("doc_id", "tell", "text").mapInArrow(run, DEALT)
+    dealt = rows.select("doc_id", "tell", "text").mapInArrow(tidy(run), DEALT)
     shares = max(size // slice_bytes, rows.rdd.getNumPartitions()) // fan + 1
     while shares > 1:
         share = F.when(F.col("bucket") < 0, 0).otherwise(F.pmod(F.xxhash64("slice"), F.lit(shares))).alias("share")
@@ -294,7 +295,7 @@ def dedup_substrings(docs: DataFrame, carry: tuple[str, ...] = (), fan: int = FA
     result.add("factors", T._parse_datatype_string("array<struct<start:int,words:int,source:long,source_start:int>>"))
     if carry:
         result.add("carried", rows.schema["carried"].dataType)
-    return spread_over(both, size, "t").sortWithinPartitions("t", "kind").mapInArrow(run, result)
+    return spread_over(both, size, "t").sortWithinPartitions("t", "kind").mapInArrow(tidy(run), result)
 
 
 class Spans:

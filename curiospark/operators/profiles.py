@@ -93,7 +93,8 @@ def coherence(texts: DataFrame, least: int = 3) -> DataFrame:
     own = texts.join(several.select("record_id"), "record_id", "left_semi")
     doc = ["record_id", "field_type"]
     tf = own.select(*doc, F.explode(T.words(F.col("value"))).alias("token")).groupBy(*doc, "token").agg(F.count("*").alias("tf"))
-    w = tf.join(term_weights(texts, doc, least).select("token", "idf"), "token").withColumn("w", (1 + F.ln("tf")) * F.col("idf"))
+    # At most ``most`` words, so that no word is one key of a shuffle.
+    w = tf.join(F.broadcast(term_weights(texts, doc, least).select("token", "idf")), "token").withColumn("w", (1 + F.ln("tf")) * F.col("idf"))
     norms = w.groupBy(*doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     unit = w.join(norms, doc).withColumn("w", F.col("w") / F.col("norm"))
     shared = unit.groupBy("record_id", "token").agg(F.sum("w").alias("s"), F.sum(F.col("w") * F.col("w")).alias("q"))

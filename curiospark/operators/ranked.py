@@ -39,17 +39,43 @@ def winners(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], colum
     return rows.groupBy(*keys).agg(F.min_by(F.struct(*columns), F.struct(*order)).alias("w")).select(*keys, "w.*")
 
 
-def closure(edges: DataFrame, child: str, parent: str, depth: int) -> DataFrame:
+def hops(edges: DataFrame, child: str, parent: str, depth: int) -> DataFrame:
     """All ancestors within ``depth`` steps, each with its fewest steps."""
-    step = edges.select(F.col(child).alias("subject"), F.col(parent).alias("ancestor")).distinct()
-    up = step.select(F.col("subject").alias("ancestor"), F.col("ancestor").alias("next"))
-    found = reached = step.withColumn("steps", F.lit(1))
+    found = reached = _steps(edges, child, parent)
+    up = _up(found)
     for n in range(2, depth + 1):
-        reached = reached.join(up, "ancestor").select("subject", F.col("next").alias("ancestor"), F.lit(n).alias("steps")).distinct()
+        reached = _next(reached, up, n)
         found = found.unionByName(reached)
     return found.groupBy("subject", "ancestor").agg(F.min("steps").alias("steps"))
 
 
+def closure(edges: DataFrame, child: str, parent: str, depth: int = 25) -> DataFrame:
+    """All ancestors, each with its fewest steps; an error where ``depth`` steps leave some unreached, as in no hierarchy.
+
+    Each round goes on only from pairs that are new, so cycles end, too.
+    """
+    found = reached = _steps(edges, child, parent).persist()
+    up = _up(found)
+    for n in range(2, depth + 2):
+        reached = _next(reached, up, n).join(found, ["subject", "ancestor"], "left_anti").persist()
+        if not reached.limit(1).count():
+            return found
+        found = found.unionByName(reached)
+    raise ValueError(f"ancestors more than {depth} steps away")
+
+
+def _steps(edges: DataFrame, child: str, parent: str) -> DataFrame:
+    return edges.select(F.col(child).alias("subject"), F.col(parent).alias("ancestor")).distinct().withColumn("steps", F.lit(1))
+
+
+def _up(steps: DataFrame) -> DataFrame:
+    return steps.select(F.col("subject").alias("ancestor"), F.col("ancestor").alias("next"))
+
+
+def _next(reached: DataFrame, up: DataFrame, n: int) -> DataFrame:
+    return reached.join(up, "ancestor").select("subject", F.col("next").alias("ancestor"), F.lit(n).alias("steps")).distinct()
+
+
 def islands(rows: DataFrame, keys: Sequence[str], at: str, gap: int) -> DataFrame:
     """Runs of values no more than ``gap`` apart: first and last value, number of rows."""
     points = rows.groupBy(*keys, at).agg(F.count("*").alias("n"))

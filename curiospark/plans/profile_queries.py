@@ -114,11 +114,18 @@ def best_proposals(spark, sf_dir):
     return ranked.winners(_table(spark, sf_dir, "lineitem"), ["l_partkey"], order, ["l_orderkey", "l_linenumber", "l_discount"])
 
 
-def ancestors(spark, sf_dir):
+def _above(spark, sf_dir) -> DataFrame:
     nation = _table(spark, sf_dir, "nation")
     up = _table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("child"), F.concat(F.lit("n"), "c_nationkey").alias("parent"))
-    edges = up.unionByName(nation.select(F.concat(F.lit("n"), "n_nationkey").alias("child"), F.concat(F.lit("r"), "n_regionkey").alias("parent")))
-    return ranked.closure(edges, "child", "parent", 3)
+    return up.unionByName(nation.select(F.concat(F.lit("n"), "n_nationkey").alias("child"), F.concat(F.lit("r"), "n_regionkey").alias("parent")))
+
+
+def ancestors(spark, sf_dir):
+    return ranked.hops(_above(spark, sf_dir), "child", "parent", 3)
+
+
+def all_ancestors(spark, sf_dir):
+    return ranked.closure(_above(spark, sf_dir), "child", "parent")
 
 
 def order_islands(spark, sf_dir):
@@ -175,7 +182,7 @@ QUERIES = {
     for f in (
         importance_weights, completeness_ratios, provenance, field_frequency_profile, pareto_summary, field_vocabulary, fragmentation, term_weights,
         text_coherence, thinness, decomposition_cells, decomposition, pattern_counts, pattern_widths, pattern_concentration, pattern_consistency,
-        consensus_home, conflation, source_divergence, variance_share, normalised_terms, best_proposals, ancestors, order_islands, false_discovery,
+        consensus_home, conflation, source_divergence, variance_share, normalised_terms, best_proposals, ancestors, all_ancestors, order_islands, false_discovery,
         threshold_sweep, link_census, parsed_prices, parsed_counts, event_windows,
     )
 }
@@ -311,3 +318,4 @@ def _provenance_sql() -> str:
 
 
 ORACLE_SQL["provenance"] = _provenance_sql()
+ORACLE_SQL["all_ancestors"] = ORACLE_SQL["ancestors"]

@@ -102,7 +102,7 @@ def check_failures(spark, sf_dir):
 
 def _index(spark, sf_dir) -> DataFrame:
     """Parts as subjects of terms made of their names; how often they are ordered as prominence."""
-    parts = _table(spark, sf_dir, "part").where("p_partkey % 3 = 0 OR p_size < 4")
+    parts = _table(spark, sf_dir, "part")
     uses = _table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.sum(F.when(F.col("l_quantity") > 45, 40).otherwise(1)).alias("prominence"))
     return parts.join(uses, "p_partkey", "left").select(T.norm_term(F.expr("concat(p_name, CASE WHEN p_partkey % 5 < 3 THEN concat(' ', p_partkey % 40) ELSE '' END)")).alias("norm"), F.col("p_partkey").alias("subject"), F.col("p_brand").alias("kind"), F.coalesce("prominence", F.lit(0)).alias("prominence"))
 
@@ -113,7 +113,7 @@ def resolved_terms(spark, sf_dir):
 
 def cascaded_terms(spark, sf_dir):
     values = _table(spark, sf_dir, "part").select(F.expr(_SPELT).alias("value"))
-    return alignment.cascade(values, "value", _table(spark, sf_dir, "part").select(T.norm_term(F.col("p_name")).alias("norm")).where("norm < 's'"))
+    return alignment.cascade(values, "value", _table(spark, sf_dir, "part").select(T.norm_term(F.col("p_name")).alias("norm")))
 
 
 def overlaid_terms(spark, sf_dir):
@@ -123,7 +123,7 @@ def overlaid_terms(spark, sf_dir):
 
 def fuzzy_terms(spark, sf_dir):
     """Words of the documents that are near, but seldom equal, to words of the benchmark."""
-    words = lambda name: _table(spark, sf_dir, name).select(F.explode(F.split(T.fold(F.col("text")), " ")).alias("norm")).where(F.length("norm") > 4)
+    words = lambda name: _table(spark, sf_dir, name).select(F.explode(F.split(T.fold(F.col("text")), " ")).alias("norm"))
     return rounded(alignment.fuzzy_join(words("documents"), words("benchmark")))
 
 
@@ -135,8 +135,8 @@ def overlapping_spans(spark, sf_dir):
 
 
 def prefix_matches(spark, sf_dir):
-    tokens = lambda text: F.filter(F.split(T.fold(text), " "), lambda t: F.length(t) > 3)
-    asked = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.transform(F.slice(tokens(F.col("text")), 1, 4), lambda t: F.left(t, F.lit(5))).alias("tokens"))
+    tokens = lambda text: F.filter(F.split(T.fold(text), " "), lambda t: F.length(t) >= 3)
+    asked = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), tokens(F.col("text")).alias("tokens"))
     return alignment.prefix_matches(asked, _table(spark, sf_dir, "documents").select("doc_id", tokens(F.col("text")).alias("tokens")))
 
 
@@ -250,9 +250,9 @@ merged AS (SELECT node_id, component, new_value, CASE WHEN verdict <> 'valid' TH
   FROM judged WHERE verdict IS NOT NULL)"""
 _INDEX = f"""uses AS (SELECT l_partkey AS p_partkey, sum(CASE WHEN l_quantity > 45 THEN 40 ELSE 1 END) AS prominence FROM lineitem GROUP BY 1),
 terms AS (SELECT {_NORM.format("concat(p_name, CASE WHEN p_partkey % 5 < 3 THEN concat(' ', p_partkey % 40) ELSE '' END)")} AS norm, p_partkey AS subject, p_brand AS kind,
-  coalesce(prominence, 0) AS prominence FROM part LEFT JOIN uses USING (p_partkey) WHERE p_partkey % 3 = 0 OR p_size < 4)"""
+  coalesce(prominence, 0) AS prominence FROM part LEFT JOIN uses USING (p_partkey))"""
 _ONE = "CASE WHEN regexp_matches(norm, '(ss|us|is)$') THEN norm WHEN regexp_matches(norm, '(ch|sh|x|ss)es$') THEN regexp_replace(norm, 'es$', '') WHEN regexp_matches(norm, '[^aeiou]ies$') THEN regexp_replace(norm, 'ies$', 'y') ELSE regexp_replace(norm, 's$', '') END"
-_TOKENS = "list_filter(string_split(trim(regexp_replace(lower(text), '[^0-9a-z]+', ' ', 'g')), ' '), lambda t: length(t) > 3)"
+_TOKENS = "list_filter(string_split(trim(regexp_replace(lower(text), '[^0-9a-z]+', ' ', 'g')), ' '), lambda t: length(t) >= 3)"
 _NOTHING = ", ".join(f"'{x}'" for x in clean.NOTHING)
 _SAYS = lambda c: f"coalesce({_NORM.format(c)} IN ({_NOTHING}, 'mm', 'cm', 'in', 'kg', 'g') OR regexp_matches({c}, '^[A-Za-z ]{{1,30}}:$'), false)"
 
@@ -272,7 +272,13 @@ flags AS (SELECT l_orderkey AS node_id, min(CASE l_suppkey % 10 WHEN 0 THEN 0 WH
 SELECT substr(o_orderpriority, 1, 1) AS data_source, o_orderpriority AS field_type, component,
   CASE WHEN r = 0 THEN 'qualified' WHEN component IS NOT NULL THEN 'applied' WHEN r IS NOT NULL THEN ['deferred', 'enriched', 'verified'][r - 1] ELSE 'untouched' END AS disposition, count(*) AS n
 FROM orders LEFT JOIN (SELECT * FROM merged WHERE outcome = 'applied') m ON m.node_id = o_orderkey LEFT JOIN flags f ON f.node_id = o_orderkey GROUP BY ALL""",
-    "post_conditions": "SELECT 0 AS lost, 0 AS invented, 0 AS repeated, 0 AS protected_changed, 0 AS undecided",
+    "post_conditions": f"""WITH {_MERGED}, c AS (SELECT o_orderkey AS node_id, o_orderpriority AS field, o_orderstatus AS recorded, coalesce(new_value, o_orderstatus) AS written FROM orders LEFT JOIN (SELECT * FROM merged WHERE outcome = 'applied') m ON m.node_id = o_orderkey),
+o AS (SELECT o_orderkey AS node_id, count(*) AS before FROM orders GROUP BY 1), n AS (SELECT node_id, count(*) AS after, min(field) AS field, min(recorded) AS recorded, min(written) AS written FROM c GROUP BY 1)
+SELECT count(*) FILTER (after IS NULL) AS lost, count(*) FILTER (before IS NULL) AS invented, count(*) FILTER (after > before) AS repeated, count(*) FILTER (field = '1-URGENT' AND written IS DISTINCT FROM recorded) AS protected_changed, 0 AS undecided FROM o FULL JOIN n USING (node_id)""",
+    "binomial_tails": """WITH b AS (SELECT p_brand, count(*) FILTER (p_size > 40) AS hits, count(*) AS n FROM part GROUP BY 1)
+SELECT p_brand, hits, n, round(CASE WHEN hits = 0 THEN 1 ELSE least(1, list_sum(list_transform(range(hits, n + 1), lambda k: exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln(0.2) + (n - k) * ln(0.8))))) END, 9) AS p FROM b""",
+    "mcnemar": """WITH c AS (SELECT count(*) FILTER (quality = 1 AND toxic <> 0) AS only_first, count(*) FILTER (quality <> 1 AND toxic = 0) AS only_second FROM labels), g AS (SELECT *, greatest(only_first, only_second) AS m, only_first + only_second AS n FROM c)
+SELECT only_first, only_second, round(CASE WHEN m = 0 THEN 1 ELSE least(1, 2 * list_sum(list_transform(range(m, n + 1), lambda k: exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + n * ln(0.5))))) END, 9) AS p FROM g""",
     "base_values": f"""WITH {PART_NODES_SQL},
 dirty AS (SELECT record_id, field_type, {_DIRTY} AS value FROM nodes),
 texts AS (SELECT *, {_plain("CASE WHEN field_type = 'p_type' THEN lower(value) ELSE value END")} AS plain FROM dirty),
@@ -302,13 +308,13 @@ SELECT norm, CASE WHEN resolved_by IN ('unique', 'prominent') THEN top WHEN reso
     "cascaded_terms": f"""WITH v AS (SELECT DISTINCT {_SPELT} AS value FROM part), n AS (SELECT value, {_NORM.format('value')} AS norm FROM v),
 b AS (SELECT *, {_NORM.format(r"regexp_replace(norm, '\s*\([^()]*\)', '', 'g')")} AS bare, {_ONE} AS one FROM n),
 f AS (SELECT value, 0 AS t, norm FROM b UNION ALL SELECT value, 1, bare FROM b UNION ALL SELECT value, 2, one FROM b UNION ALL SELECT value, 3, string_split(bare, ' ')[-1] FROM b),
-h AS (SELECT value, min(t) AS t, arg_min(norm, t) AS norm FROM f WHERE norm IN (SELECT {_NORM.format('p_name')} FROM part) AND norm < 's' GROUP BY 1)
+h AS (SELECT value, min(t) AS t, arg_min(norm, t) AS norm FROM f WHERE norm IN (SELECT {_NORM.format('p_name')} FROM part) GROUP BY 1)
 SELECT value, norm, ['exact', 'paren', 'morph', 'compound'][t + 1] AS tier FROM v LEFT JOIN h USING (value)""",
     "overlaid_terms": """SELECT DISTINCT p_brand AS data_source, p_type AS norm, CASE WHEN p_brand < 'Brand#3' AND p_type < 'P' THEN 'own' ELSE 'pool' END AS subject,
   CASE WHEN p_brand < 'Brand#3' AND p_type < 'P' THEN 'pool' END AS crosswalk FROM part""",
     "overlapping_spans": """WITH s AS (SELECT o_orderkey, date_diff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) AS lo FROM orders)
 SELECT s_suppkey AS query_id, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS spans FROM supplier JOIN s ON lo <= 1900 + s_suppkey * 8 AND lo + o_orderkey % 30 >= 1900 + s_suppkey * 7 GROUP BY 1""",
-    "prefix_matches": f"""WITH q AS (SELECT item_id, unnest(list_distinct(list_transform({_TOKENS}[1:4], lambda t: left(t, 5)))) AS token FROM benchmark),
+    "prefix_matches": f"""WITH q AS (SELECT item_id, unnest(list_distinct({_TOKENS})) AS token FROM benchmark),
 d AS (SELECT DISTINCT doc_id, unnest({_TOKENS}) AS word FROM documents), w AS (SELECT DISTINCT word FROM d),
 h AS (SELECT DISTINCT item_id, token, doc_id FROM q JOIN w ON starts_with(word, token) JOIN d USING (word))
 SELECT h.item_id AS query_id, doc_id FROM h JOIN (SELECT item_id, count(*) AS n FROM q GROUP BY 1) s USING (item_id) GROUP BY h.item_id, doc_id, n HAVING count(*) = n""",

@@ -49,10 +49,11 @@ def order_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as records of ten groups of suppliers, whose fields hold small numbers."""
+    """Order lines as records of ten groups of suppliers, whose fields hold small numbers, or nothing for small quantities of some groups."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     lines = lines.withColumn("grp", (F.col("l_suppkey") % 10).cast("string")).withColumn("quantity", F.col("l_quantity").cast("int")).withColumn("line", F.col("l_linenumber"))
-    return unpivoted(lines.where((F.col("grp") < "5") | (F.col("l_quantity") > 7)), "l_orderkey", "grp", ["quantity", "line"])
+    known = (F.col("grp") < "5") | (F.col("l_quantity") > 7)
+    return unpivoted(lines.withColumn("quantity", F.when(known, F.col("quantity"))).withColumn("line", F.when(known, F.col("line"))), "l_orderkey", "grp", ["quantity", "line"])
 
 
 DOCUMENT_NODES_SQL = """nodes AS (
@@ -64,7 +65,6 @@ ORDER_TREE_SQL = """tree AS (
     CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS value FROM orders
   UNION ALL SELECT CAST(o_custkey AS VARCHAR), o_orderpriority, NULL, l_orderkey, 1, l_returnflag, l_linestatus FROM orders JOIN lineitem ON o_orderkey = l_orderkey)"""
 LINE_NODES_SQL = """lines AS (SELECT *, CAST(l_suppkey % 10 AS VARCHAR) AS grp FROM lineitem),
-kept AS (SELECT * FROM lines WHERE grp < '5' OR l_quantity > 7),
 nodes AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS record_id, grp AS data_source, 'quantity' AS field_type, CAST(CAST(l_quantity AS INT) AS VARCHAR) AS value FROM kept
-  UNION ALL SELECT CAST(l_orderkey AS VARCHAR), grp, 'line', CAST(l_linenumber AS VARCHAR) FROM kept)"""
+  SELECT CAST(l_orderkey AS VARCHAR) AS record_id, grp AS data_source, 'quantity' AS field_type, CASE WHEN grp < '5' OR l_quantity > 7 THEN CAST(CAST(l_quantity AS INT) AS VARCHAR) END AS value FROM lines
+  UNION ALL SELECT CAST(l_orderkey AS VARCHAR), grp, 'line', CASE WHEN grp < '5' OR l_quantity > 7 THEN CAST(l_linenumber AS VARCHAR) END FROM lines)"""

@@ -9,6 +9,7 @@ from ..functions import dimensions as D
 from ..functions import parsers, persons
 from ..functions.text import norm_term
 from ..operators import census, induction, matching, retrieval
+from ..sources import records
 from ..sources.nodes import PART_NODES_SQL, part_nodes
 
 
@@ -246,12 +247,34 @@ def parsed_certainty(spark, sf_dir):
     return rows.select("raw", "n", "c.clean", "c.notation")
 
 
+_RECORD = """concat('{{"@admin":{{"uuid":"u', p_partkey % 700, '","processed":', p_partkey, ',"odd":', p_size, ',"data_source":{{"name":"', p_brand, '"}}}},"@document":{{"units":[{{"label":"a","value":"', p_name, '","units":[{{"label":"b","value":"', p_type, '"}}]}},{{"label":"c","value":', p_size, '}}]}}}}')""".replace("{{", "{").replace("}}", "}")
+
+
+def flattened_units(spark, sf_dir):
+    """The newest copy of each record, flattened."""
+    lines = _table(spark, sf_dir, "part").select(F.expr(_RECORD).alias("value"), F.col("p_partkey").alias("ordinal"))
+    rows = records.newest(records.parse_records(lines, "ordinal"), "record_id", "processed", "ordinal")
+    return records.flatten(rows).select("record_id", "data_source", "node_id", "parent_id", "depth", "label", "value")
+
+
+def spilled_keys(spark, sf_dir):
+    lines = _table(spark, sf_dir, "part").select(F.expr(_RECORD).alias("value"), F.col("p_partkey").alias("ordinal"))
+    return records.parse_records(lines, "ordinal").select("ordinal", "extra")
+
+
+def vocabulary_terms(spark, sf_dir):
+    part = _table(spark, sf_dir, "part")
+    lines = part.select(F.expr("concat('<http://v.org/', p_partkey % 300, '> <http://v.org/x#prefLabel> <http://v.org/term/', p_partkey, '> .')").alias("value"))
+    terms = part.select(F.expr(r"""concat('<http://v.org/term/', p_partkey, '> <http://v.org/x#text> "', p_name, CASE WHEN p_partkey % 3 = 0 THEN ' \\u00e9' ELSE '' END, '"', CASE WHEN p_partkey % 2 = 0 THEN '@en' ELSE '' END, ' .')""").alias("value"))
+    return records.term_index(records.parse_triples(lines.union(terms)), ("http://v.org/x#prefLabel",), "http://v.org/x#text")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         conformance, disguised_nulls, interval_statuses, placed_in_context, ancestor_terms, sole_suppliers, separator_candidates, separator_scores, merged_patterns, field_coverage, source_coverage,
         owning_stages, marker_styles, year_cohorts, field_years, record_richness, extraction_queue, review_strata, routed_values, relaxed_union, word_set_changes, consensus_events, licensed_nodes,
-        rebuilt_records, residue_shapes, record_bags, year_bounds, ranked_records, parsed_dimensions, parsed_persons, parsed_certainty,
+        rebuilt_records, residue_shapes, record_bags, year_bounds, ranked_records, parsed_dimensions, parsed_persons, parsed_certainty, flattened_units, spilled_keys, vocabulary_terms,
     )
 }
 
@@ -386,4 +409,9 @@ SELECT raw, count(*) AS n, CASE WHEN k = 4 THEN 'organisation' ELSE 'person' END
   CASE k WHEN 0 THEN concat('John Henry ', w) WHEN 1 THEN concat('Dr Ann ', w, ' OBE') WHEN 2 THEN concat('Mary ', w, ' M.A') WHEN 3 THEN concat('Jan van der ', w) WHEN 4 THEN concat(w, ' & Sons') END AS display FROM r GROUP BY raw, k, w""",
     "parsed_certainty": f"""WITH r AS (SELECT p_partkey % 7 AS k, p_name, p_partkey, {_DOUBT} AS raw FROM part)
 SELECT raw, count(*) AS n, CASE k WHEN 4 THEN CAST(any_value(p_partkey) AS VARCHAR) WHEN 6 THEN NULL ELSE any_value(p_name) END AS clean, CASE k WHEN 0 THEN '?' WHEN 1 THEN '[]' WHEN 2 THEN 'Probably' WHEN 3 THEN 'possibly' WHEN 4 THEN 'c.' WHEN 5 THEN '(?)+perhaps' END AS notation FROM r GROUP BY raw, k""",
+    "flattened_units": """WITH l AS (SELECT concat('u', p_partkey % 700) AS record_id, max(p_partkey) AS p_partkey FROM part GROUP BY 1), p AS (SELECT * FROM l JOIN part USING (p_partkey))
+SELECT record_id, p_brand AS data_source, concat(record_id, '/0') AS node_id, NULL AS parent_id, 0 AS depth, 'a' AS label, p_name AS value FROM p UNION ALL SELECT record_id, p_brand, concat(record_id, '/0/0'), concat(record_id, '/0'), 1, 'b', p_type FROM p
+UNION ALL SELECT record_id, p_brand, concat(record_id, '/1'), NULL, 0, 'c', CAST(p_size AS VARCHAR) FROM p""",
+    "spilled_keys": """SELECT p_partkey AS ordinal, concat('{"@admin.odd":"', p_size, '"}') AS extra FROM part""",
+    "vocabulary_terms": """SELECT DISTINCT CAST(p_partkey % 300 AS VARCHAR) AS subject, 'prefLabel' AS kind, concat(p_name, CASE WHEN p_partkey % 3 = 0 THEN ' é' ELSE '' END) AS term, CASE WHEN p_partkey % 2 = 0 THEN 'en' END AS lang, concat(p_name, CASE WHEN p_partkey % 3 = 0 THEN ' é' ELSE '' END) AS norm FROM part""",
 }

@@ -4,14 +4,17 @@ Symbols: the end, the ``FREQUENT`` most frequent words, and ``RARE`` classes tha
 their last letters and punctuation. The neural part gives the distribution of the next symbol after two symbols: a
 prediction, the sum of the two context vectors, is multiplied with every symbol's vector and biased; as there are
 only SYMBOLS squared contexts, batched matrix products normalise all of them beforehand, and a token costs one
-dot product. Within a rare class, a word has probability (c + 1) / (N + V + 1) of the class's own counts, one
-place being that of all unknown words; so the probabilities of the known words and one unknown word per class
-sum to one.
+dot product. Within a rare class, a word's share is (c + 1) / (N + V + 1) of the class's own counts, one place being
+that of all unknown words. A second log-bilinear model, learned by the same estimation, tells the words of a class
+apart in context: every word that occurs ``MEMBER_LEAST`` times in training has a vector, its share is multiplied
+by the exponential of that vector's product with one of the symbol before it, and matrix products over each class
+normalise the shares for every such symbol. So the probabilities of the known words and one unknown word per class
+sum to one, and the words with vectors of their own grow in number with the corpus, up to ``HEAD``.
 
 Corpus counts come from all training texts, and so does the neural part: texts are dealt to ``ROUNDS`` parts by a
 hash, and each part to shards; in each round every shard learns from its texts in the order of their hashes, starting from the last round's
 average, and the vectors are averaged by the tokens that they saw. So scores don't depend on how rows lie in files. Counts of the words above a threshold that keeps them within
-``HEAD`` are broadcast; the other words' counts are joined, so that nothing broadcast grows with the input.
+``HEAD`` are broadcast, with the vectors; the other words' counts are joined, so that what is broadcast is bounded by ``HEAD`` words.
 
 Defined cases: null and empty texts consist of the end alone; null ids count as held out; rows with equal ids are
 scored each on its own; without any training text every token is unknown; other columns are ignored.
@@ -26,14 +29,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .packed import pack, schema, unpack
+from .packed import in_order, pack, schema, unpack
 from .scan import NOT_SPACE, Words, mix, slices, words
-from .shared import bounded_batches, keep, spread_over, table, text_bytes
+from .shared import bounded_batches, keep, release, spread_over, table, text_bytes, tidy
 
 FREQUENT, RARE, SIZE, NOISE, BATCH, ROUNDS = 895, 128, 24, 32, 4096, 2
 SYMBOLS = 1 + FREQUENT + RARE
 HEAD = 1 << 20
 LEARN = 0.15
+#: Of the words within a class: occurrences that give a word a vector, the vectors' length, noise words and tokens of a step, step width.
+MEMBER_LEAST, MEMBER_SIZE, MEMBER_NOISE, MEMBER_BATCH, MEMBER_LEARN = 8, 8, 2, 1 << 15, 0.3
 END = np.uint64(0x5D1F0A2C3B4E6978)
 BIG_SLICE = 1 << 22
 
@@ -79,16 +84,22 @@ def word_counts(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 class Vocabulary:
-    """The head of the counts, by hash, and what of it are symbols; totals of the rare classes."""
+    """The head of the counts, by hash, and what of it are symbols or have vectors within a class; totals of the rare classes."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, total: int, types: int, by_class: np.ndarray):
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, classes: np.ndarray, total: int, types: int, by_class: np.ndarray):
         order = np.lexsort((hashes, -counts))
         order = order[hashes[order] != END]
         symbol = np.full(len(hashes), -1, np.int16)
         symbol[order[:FREQUENT]] = 1 + np.arange(min(FREQUENT, len(order)))
         symbol[hashes == END] = 0
+        own = order[FREQUENT:]
+        own = own[counts[own] >= MEMBER_LEAST]
+        member = np.full(len(hashes), -1, np.int32)
+        member[own] = np.arange(len(own))
+        #: Classes and counts of the words with vectors, from the most frequent on.
+        self.member_class, self.member_counts = classes[own].astype(np.uint8), counts[own]
         by_hash = np.argsort(hashes)
-        self.hashes, self.counts, self.symbol = hashes[by_hash], counts[by_hash], symbol[by_hash]
+        self.hashes, self.counts, self.symbol, self.member = hashes[by_hash], counts[by_hash], symbol[by_hash], member[by_hash]
         self.total, self.types = total, types
         #: Tokens and types of each rare class, without the frequent words.
         self.by_class = by_class
@@ -99,15 +110,15 @@ class Vocabulary:
         self.unigram[1 + FREQUENT :] = by_class[0]
         self.unigram = (self.unigram + 1) / (self.unigram.sum() + SYMBOLS)
 
-    def look_up(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """By word: its symbol, its count, and whether the head knows it."""
+    def look_up(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """By word: its symbol, its count, whether the head knows it, and its vector within its class (-1: none)."""
         cls = 1 + FREQUENT + rare_class(w).astype(np.int64)
         if not len(self.hashes):
-            return cls, np.zeros(len(cls), np.int64), np.zeros(len(cls), bool)
+            return cls, np.zeros(len(cls), np.int64), np.zeros(len(cls), bool), np.full(len(cls), -1, np.int32)
         at = np.minimum(np.searchsorted(self.hashes, w.hash), len(self.hashes) - 1)
         known = self.hashes[at] == w.hash
         symbol = np.where(known, self.symbol[at], -1).astype(np.int64)
-        return np.where(symbol >= 0, symbol, cls), np.where(known, self.counts[at], 0), known
+        return np.where(symbol >= 0, symbol, cls), np.where(known, self.counts[at], 0), known, np.where(known, self.member[at], -1)
 
 
 def vocabulary(counts: DataFrame) -> tuple[Vocabulary, int]:
@@ -121,18 +132,17 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, int]:
         if held > HEAD:
             least = row.n + 1
             break
-    head = counts.where((F.col("n") >= least) | (F.col("hash") == int(END.astype(np.int64)))).select("hash", "n").toArrow()
-    hashes, n = head["hash"].to_numpy().view(np.uint64), head["n"].to_numpy()
+    head = counts.where((F.col("n") >= least) | (F.col("hash") == int(END.astype(np.int64)))).select("hash", "cls", "n").toArrow()
+    hashes, cls, n = head["hash"].to_numpy().view(np.uint64), head["cls"].to_numpy(), head["n"].to_numpy()
     order = np.lexsort((hashes, -n))
-    frequent = hashes[order[hashes[order] != END][:FREQUENT]]
+    frequent = order[hashes[order] != END][:FREQUENT]
     classes = counts.where(F.col("hash") != int(END.astype(np.int64))).groupBy("cls").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
     by_class = np.zeros((2, RARE), np.int64)
     for row in classes:
         by_class[:, row.cls] = row.n, row.v
-    own = counts.where(F.col("hash").isin([int(x) for x in frequent.view(np.int64)])).select("cls", "n").collect() if len(frequent) else []
-    for row in own:
-        by_class[:, row.cls] -= row.n, 1
-    return Vocabulary(hashes, n, whole[0] or 0, whole[1], by_class), least
+    np.subtract.at(by_class, (0, cls[frequent]), n[frequent])
+    np.subtract.at(by_class, (1, cls[frequent]), 1)
+    return Vocabulary(hashes, n, cls, whole[0] or 0, whole[1], by_class), least
 
 
 def sequences(w: Words, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -200,12 +210,77 @@ class LogBilinear:
         return (s - normal[near, far]).astype(np.float64) / np.log(10)
 
 
-def gather(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    """into[rows] += values, equal rows added up first."""
-    order = np.argsort(rows.astype(np.uint16), kind="stable")
+class Members:
+    """Words within a class: a word's share by counts times exp(near[symbol before] . own[word]), normalised over the class."""
+
+    def __init__(self, words: int, seed: int = 11):
+        self.near = np.random.default_rng(seed).standard_normal((SYMBOLS, MEMBER_SIZE)).astype(np.float32) * 0.5
+        self.own = np.zeros((words, MEMBER_SIZE), np.float32)
+
+    def learn(self, word: np.ndarray, near: np.ndarray, cls: np.ndarray, state: dict[str, np.ndarray], rng: np.random.Generator) -> None:
+        """Noise-contrastive steps: a token's noise are the words of other tokens of its class, which are spread as the class's counts."""
+        order = rng.permutation(len(word))
+        for at in range(0, len(order), MEMBER_BATCH):
+            some = order[at : at + MEMBER_BATCH]
+            some = some[np.argsort(cls[some], kind="stable")]
+            w, a, c = word[some], near[some], cls[some]
+            # A class's first tokens lack others before them and wait for another step.
+            full = np.flatnonzero(c[MEMBER_NOISE:] == c[:-MEMBER_NOISE]) + MEMBER_NOISE
+            if not len(full):
+                continue
+            q, rows, weights, step = self.near[a[full]], [], [], 0
+            for k in range(MEMBER_NOISE + 1):
+                other = w[full - k]
+                chance = 1 / (1 + np.exp(np.log(MEMBER_NOISE) - np.einsum("ij,ij->i", q, self.own[other])))
+                up = ((k == 0) - chance).astype(np.float32)[:, None]
+                step = step + up * self.own[other]
+                rows.append(other)
+                weights.append(up * q)
+            at_words, g = summed(np.concatenate(rows), np.concatenate(weights))
+            state["own"][at_words] += (g * g).mean(axis=1)
+            self.own[at_words] += MEMBER_LEARN * g / np.sqrt(state["own"][at_words])[:, None]
+            state["seen"] += np.bincount(w[full], minlength=len(self.own))
+            at_near, g = summed(a[full], step)
+            state["near"][at_near] += (g * g).mean(axis=1)
+            self.near[at_near] += MEMBER_LEARN * g / np.sqrt(state["near"][at_near])[:, None]
+
+    def start(self) -> dict[str, np.ndarray]:
+        return {"own": np.ones(len(self.own), np.float32), "near": np.ones(SYMBOLS, np.float32), "seen": np.zeros(len(self.own), np.int64)}
+
+    def normaliser(self, vocab: Vocabulary) -> np.ndarray:
+        """log10 of the sum of a class's shares after each symbol: words without a vector, the unknown one among them, keep theirs."""
+        out = np.empty((SYMBOLS, RARE))
+        order = np.argsort(vocab.member_class, kind="stable")
+        cut = np.searchsorted(vocab.member_class[order], np.arange(RARE + 1))
+        for c in range(RARE):
+            rows = order[cut[c] : cut[c + 1]]
+            share = (vocab.member_counts[rows] + 1) / (vocab.by_class[:, c].sum() + 1)
+            total = np.full(SYMBOLS, 1 - share.sum())
+            for at in range(0, len(rows), BATCH):
+                total += np.exp(self.near @ self.own[rows[at : at + BATCH]].T) @ share[at : at + BATCH]
+            out[:, c] = np.log10(total)
+        return out
+
+    def log10(self, word: np.ndarray, near: np.ndarray, cls: np.ndarray, normal: np.ndarray) -> np.ndarray:
+        """What the context adds to the logarithm of a word's share; ``word`` is -1 where it has no vector."""
+        product = np.zeros(len(word))
+        has = np.flatnonzero(word >= 0)
+        product[has] = np.einsum("ij,ij->i", self.near[near[has]], self.own[word[has]])
+        return product / np.log(10) - normal[near, cls]
+
+
+def summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows in order, and the sums of their values."""
+    order = in_order(rows, int(rows.max(initial=0)))
     sorted_rows = rows[order]
     first = np.flatnonzero(np.diff(sorted_rows, prepend=-1))
-    into[sorted_rows[first]] += np.add.reduceat(values[order], first, axis=0)
+    return sorted_rows[first], np.add.reduceat(values[order], first, axis=0)
+
+
+def gather(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """into[rows] += values, equal rows added up first."""
+    at, sums = summed(rows, values)
+    into[at] += sums
 
 
 def shards_for(size: int) -> int:
@@ -213,49 +288,75 @@ def shards_for(size: int) -> int:
     return max(16, size >> 24)
 
 
-def train(docs: DataFrame, vocab: Vocabulary, shards: int, rounds: int = ROUNDS) -> LogBilinear:
+def train(docs: DataFrame, vocab: Vocabulary, shards: int, rounds: int = ROUNDS) -> tuple[LogBilinear, Members]:
     """One pass over every training text, in ``rounds`` rounds of parallel learning and averaging.
 
     A shard learns from the texts that a hash deals to it, in the order of another, so that nothing depends on how rows lie in files.
     """
     spark = docs.sparkSession
-    model = LogBilinear(vocab.unigram)
+    model, members = LogBilinear(vocab.unigram), Members(len(vocab.member_counts))
     keys = ("near", "far", "target", "bias")
     shared_vocab = spark.sparkContext.broadcast(vocab)
     place = F.xxhash64("text", F.col("doc_id").cast("string"))
     for k in range(rounds):
         part = docs.where(~held_out(F.col("doc_id"))).select(F.pmod(place, F.lit(rounds * shards)).cast("int").alias("shard"), place.alias("place"), "text")
         part = spread_over(part.where(F.pmod("shard", F.lit(rounds)) == k), shards << 24, "shard").sortWithinPartitions("shard", "place", "text")
-        shared = spark.sparkContext.broadcast(model)
+        shared = spark.sparkContext.broadcast((model, members))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            vocab, (model, members) = shared_vocab.value, shared.value
+            # The task's sum of words' vectors, each times the tokens that a shard saw.
+            total, weight = np.zeros(members.own.shape), np.zeros(len(members.own), np.int64)
             for shard, texts in by_shard(batches):
-                own, rng, seen = LogBilinear(shared.value.noise), np.random.default_rng(shard), 0
-                own.parts = {x: v.copy() for x, v in shared.value.parts.items()}
+                own, inner, rng, seen = LogBilinear(model.noise), Members(0), np.random.default_rng(shard), 0
+                own.parts = {x: v.copy() for x, v in model.parts.items()}
+                inner.near, inner.own = members.near.copy(), members.own.copy()
                 state = {x: np.full_like(v, 1e-4 if x != "bias" else 1e-2) for x, v in own.parts.items()}
+                inner_state = inner.start()
                 for some in texts:
                     w = words(some, NOT_SPACE, lower=True)
-                    s, a, b, _ = sequences(w, shared_vocab.value.look_up(w)[0])
+                    symbol, _, _, member = vocab.look_up(w)
+                    s, a, b, _ = sequences(w, symbol)
                     own.learn(s, a, b, state, rng)
                     seen += len(s)
-                flat = np.concatenate([own.parts[x].ravel() for x in keys]).reshape(-1, 64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(np.full(len(flat), seen), pa.int64()), pa.array(list(flat.astype(np.float64)), pa.list_(pa.float64()))], ["at", "seen", "v"])
+                    rare = np.flatnonzero(member >= 0)
+                    inner.learn(member[rare], a[rare + w.doc[rare]], symbol[rare] - 1 - FREQUENT, inner_state, rng)
+                flat = np.concatenate([*(own.parts[x].ravel() for x in keys), inner.near.ravel()]).reshape(-1, 64)
+                yield vectors(np.arange(len(flat)), np.full(len(flat), seen), flat)
+                total += inner.own * inner_state["seen"][:, None]
+                weight += inner_state["seen"]
+            touched = np.flatnonzero(weight)
+            for at in range(0, len(touched), 1 << 16):
+                some = touched[at : at + (1 << 16)]
+                yield vectors(-1 - some, weight[some], total[some] / weight[some][:, None])
 
         def average(values):
             # Rounded, as sums of doubles depend on their order in the last digits.
             return [F.round(F.sum(F.col("v")[i] * F.col("seen")) / F.sum("seen"), 6).alias(f"v{i}") for i in values]
 
-        got = part.mapInArrow(run, "at int, seen long, v array<double>").groupBy("at").agg(*average(range(64))).orderBy("at").toArrow()
-        if not got.num_rows:
-            continue
-        got = got.sort_by("at")
-        flat = np.stack([got[f"v{i}"].to_numpy() for i in range(64)], axis=1).ravel().astype(np.float32)
-        at = 0
-        for x in keys:
-            v = model.parts[x]
-            model.parts[x] = flat[at : at + v.size].reshape(v.shape)
-            at += v.size
-    return model
+        learned = keep(part.mapInArrow(tidy(run), "at int, seen long, v array<float>"), "lm-learned")
+
+        def averaged(rows: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+            got = rows.groupBy("at").agg(*average(range(width))).toArrow().sort_by("at")
+            return got["at"].to_numpy(), np.stack([got[f"v{i}"].to_numpy() for i in range(width)], axis=1).astype(np.float32)
+
+        _, flat = averaged(learned.where("at >= 0"), 64)
+        if len(flat):
+            flat, at = flat.ravel(), 0
+            for x in keys:
+                v = model.parts[x]
+                model.parts[x] = flat[at : at + v.size].reshape(v.shape)
+                at += v.size
+            members.near = flat[at:].reshape(members.near.shape)
+            at_words, own = averaged(learned.where("at < 0"), MEMBER_SIZE)
+            members.own[-1 - at_words] = own
+        release(learned)
+    return model, members
+
+
+def vectors(at: np.ndarray, seen: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1) * v.shape[1], pa.int32()), pa.array(v.ravel().astype(np.float32)))
+    return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen, pa.int64()), lists], ["at", "seen", "v"])
 
 
 def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[pa.Array]]]:
@@ -285,25 +386,27 @@ def _stretches(v: np.ndarray) -> list[tuple[int, int]]:
 LOCAL = "doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_part double, score_part double, tail array<struct<hash:long,cls:int,n:int>>"
 
 
-def score(docs: DataFrame, vocab: Vocabulary, model: LogBilinear, counts: DataFrame, least: int) -> DataFrame:
+def score(docs: DataFrame, vocab: Vocabulary, model: LogBilinear, members: Members, counts: DataFrame, least: int) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every text."""
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    shared = spark.sparkContext.broadcast((vocab, model, model.normaliser()))
+    shared = spark.sparkContext.broadcast((vocab, model, model.normaliser(), members, members.normaliser(vocab)))
     tail_type = pa.list_(pa.struct([("hash", pa.int64()), ("cls", pa.int32()), ("n", pa.int32())]))
     places = (vocab.by_class.sum(axis=0) + 1).astype(np.float64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, model, normal = shared.value
+        vocab, model, normal, members, member_normal = shared.value
         for batch in batches:
             for first, texts in slices(batch.column("text"), BIG_SLICE):
                 w = words(texts, NOT_SPACE, lower=True)
-                symbol, count, known = vocab.look_up(w)
+                symbol, count, known, member = vocab.look_up(w)
                 s, a, b, begin = sequences(w, symbol)
                 neural = np.add.reduceat(model.log10(s, a, b, normal), begin[:-1])
                 logs = np.where(known, np.log10(count + 1.0), 0.0)
                 rare = symbol > FREQUENT
-                within = np.where(rare, logs - np.log10(places[np.where(rare, symbol - 1 - FREQUENT, 0)]), 0.0)
+                cls = np.where(rare, symbol - 1 - FREQUENT, 0)
+                context = members.log10(member, a[np.arange(len(symbol)) + w.doc], cls, member_normal)
+                within = np.where(rare, logs - np.log10(places[cls]) + context, 0.0)
                 by_text = lambda v: np.diff(np.concatenate(([0.0], np.cumsum(v)))[w.ptr])
                 tail = np.flatnonzero(~known)
                 order = tail[np.lexsort((w.hash[tail], w.doc[tail]))]
@@ -338,7 +441,8 @@ def score_corpus(docs: DataFrame) -> DataFrame:
     size = text_bytes(docs)
     counts = keep(word_counts(docs, buckets_for(size)), "lm-counts")
     vocab, least = vocabulary(counts)
-    return score(docs, vocab, train(docs, vocab, shards_for(size)), counts, least)
+    model, members = train(docs, vocab, shards_for(size))
+    return score(docs, vocab, model, members, counts, least)
 
 
 def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

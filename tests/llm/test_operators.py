@@ -265,6 +265,32 @@ def test_language_model_is_normalised():
         assert abs(sum(10 ** model.log10(every, np.full(lm.SYMBOLS, near), np.full(lm.SYMBOLS, far), normal)) - 1) < 1e-4
 
 
+def test_language_model_words_within_classes():
+    """Shares in context sum to one over a class's words and its unknown one; words that go with a symbol rise after it."""
+    r = np.random.default_rng(6)
+    counts = np.append(np.arange(3000, 0, -1), 50)
+    hashes = np.append(r.permutation(1 << 20)[:3000].astype(np.uint64), lm.END)
+    classes = np.append(np.arange(3000) % 3, 0)
+    by_class = np.array([[sum(f(k) for k in range(lm.FREQUENT, 3000) if k % 3 == c) for c in range(lm.RARE)] for f in (lambda k: counts[k], lambda k: 1)])
+    vocab = lm.Vocabulary(hashes, counts, classes, int(counts.sum()), 3001, by_class)
+    own = len(vocab.member_counts)
+    assert own == 3000 - lm.FREQUENT - (lm.MEMBER_LEAST - 1)
+    members, word = lm.Members(own), r.integers(0, own, 60_000)
+    after = np.where(word < own // 2, 5, 9)
+    members.learn(word, after, vocab.member_class[word].astype(np.int64), members.start(), r)
+    normal = members.normaliser(vocab)
+    for c in (0, 1, 2, 100):
+        inside = np.flatnonzero(vocab.member_class == c)
+        n = np.concatenate((vocab.member_counts[inside], [k for k in range(1, lm.MEMBER_LEAST) if (3000 - k) % 3 == c], [0]))
+        which = np.concatenate((inside, np.full(len(n) - len(inside), -1)))
+        for near in (0, 5, 9):
+            logs = np.log10((n + 1) / (by_class[:, c].sum() + 1)) + members.log10(which, np.full(len(n), near), np.full(len(n), c), normal)
+            assert abs((10**logs).sum() - 1) < 1e-4
+    one = np.arange(own)
+    gain = lambda near: members.log10(one, np.full(own, near), vocab.member_class.astype(np.int64), normal)
+    assert (gain(5) > gain(9)).tolist() == (one < own // 2).tolist()
+
+
 def test_licenses(spark, none):
     rows = [(k, f"text\n{n}.\n", c) for c, notices in licenses.NOTICES.items() for k, n in enumerate(notices)] + [(9, t, None) for t in licenses.NEAR_MISSES] + [(9, None, None), (9, "", None)]
     for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string, family string")).collect():

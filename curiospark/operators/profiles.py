@@ -157,6 +157,14 @@ def pattern_concentration(nodes: DataFrame, head: float = 0.05) -> DataFrame:
     return sums.join(head_size(counts, CELL, "n"), CELL)
 
 
+def head_floors(nodes: DataFrame, floors: Sequence[float]) -> DataFrame:
+    """For each source, field and floor of a head pattern's share: values, those in head patterns, head patterns, and the share outside."""
+    counts = pattern_counts(nodes).withColumn("total", F.sum("n").over(Window.partitionBy(*CELL)))
+    rows = counts.withColumn("head_floor", F.explode(F.array(*map(F.lit, floors)))).withColumn("inside", F.col("n") / F.col("total") >= F.col("head_floor"))
+    sums = rows.groupBy(*CELL, "head_floor").agg(F.sum("n").alias("n_values"), F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("head_count"), F.count_if("inside").alias("n_head_patterns"))
+    return sums.withColumn("divergent_share", 1 - F.col("head_count") / F.col("n_values"))
+
+
 def pattern_consistency(nodes: DataFrame, head: float = 0.05) -> DataFrame:
     """Share of a record's values whose pattern is a head pattern of its source and field."""
     counts = pattern_counts(nodes).withColumn("total", F.sum("n").over(Window.partitionBy(*CELL)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,7 +49,20 @@ def echoes(text: Column, field: Column) -> Column:
     return F.coalesce(norm_term(text) == norm_term(F.translate(F.substring_index(field, "/", -1), "_", " ")), F.lit(False))
 
 
-def question_use(text: Column) -> Column:
-    """link, sentence, mid_value or doubt: what a question mark in the value is for; null without one."""
-    linked = text.rlike(r"(?i)https?://|www\.")
-    return F.when(text.contains("?"), F.when(linked, "link").when(text.rlike(r"[A-Za-z]+(\s+[A-Za-z]+){3,}\?"), "sentence").when(text.rlike(r"\w\?\w"), "mid_value").otherwise("doubt"))
+# What a query string looks like, where a mark stands for the whole value, and the limits of prose.
+LINKED = r"https?://|www\.|\?[\w.%+-]+=|&[\w.%+-]+="
+AT_AN_EDGE = r"[^?]\?+\s*$|^\s*\?+[^?]"
+PROSE_TOKENS, PROSE_SHARE = 5, 0.05
+
+
+def join_share(text: Column, joining: Sequence[str]) -> Column:
+    """The share of a value's words that only join others; 0 below PROSE_TOKENS words."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
+    share = F.size(F.filter(words, lambda w: w.isin(*joining))) / F.size(words)
+    return F.when(F.size(words) >= PROSE_TOKENS, share).otherwise(0.0)
+
+
+def question_use(text: Column, joining: Sequence[str]) -> Column:
+    """link, sentence (joining words make it prose), mid_value (no edge has the mark) or doubt: what a question mark is for; null without one."""
+    use = F.when(text.rlike(LINKED), "link").when(join_share(text, joining) > PROSE_SHARE, "sentence").when(~text.rlike(AT_AN_EDGE), "mid_value").otherwise("doubt")
+    return F.when(text.contains("?"), use)

@@ -22,9 +22,16 @@ def plain_pages(spark, sf_dir):
     return _table(spark, sf_dir, "pages").select("page_id", F.md5(text.cast("binary")).alias("digest"), F.length(text).alias("n_chars"))
 
 
+# In both dialects: values with a question mark as a link, in prose, within a value, at an edge, and without one.
+_ASKED = """CASE p_partkey % 8 WHEN 0 THEN concat('see www.example.org/?id=', CAST(p_size AS VARCHAR(9))) WHEN 1 THEN concat('was the ', p_name, ' made of it or of ', p_type, '?') WHEN 2 THEN concat(p_name, ' ? ', p_type)
+WHEN 3 THEN concat(p_name, '??') WHEN 4 THEN concat('? ', p_name) WHEN 5 THEN concat('the of ', p_brand, '?') WHEN 6 THEN concat(CAST(p_size AS VARCHAR(9)), '?') ELSE p_name END"""
+_JOINING = ("was", "the", "of", "it", "or", "and", "is")
+
+
 def question_uses(spark, sf_dir):
-    uses = _table(spark, sf_dir, "conversations").select(clean.question_use(F.col("text")).alias("use"), "role")
-    return uses.groupBy("role", "use").agg(F.count("*").alias("n"))
+    text = F.expr(_ASKED)
+    rows = _table(spark, sf_dir, "part").select(F.col("p_brand").alias("data_source"), clean.question_use(text, _JOINING).alias("use"), F.floor(clean.join_share(text, _JOINING) * 40).cast("int").alias("bin"))
+    return rows.groupBy("data_source", "use", "bin").agg(F.count("*").alias("n"))
 
 
 def _orders_base(spark, sf_dir) -> DataFrame:
@@ -264,8 +271,9 @@ SELECT raw, n, CASE k WHEN 0 THEN iso WHEN 1 THEN y || '~' WHEN 2 THEN '../' ||
   CASE k WHEN 2 THEN CAST(y AS VARCHAR) WHEN 3 THEN CAST(y + 3 AS VARCHAR) WHEN 4 THEN printf('%04d', lo + 32) END AS date_latest,
   CASE WHEN k < 5 THEN k = 0 AND m <= 12 AND d <= 12 AND m <> d END AS ambiguous FROM s""",
     "plain_pages": f"SELECT page_id, md5({_plain('html')}) AS digest, CAST(length({_plain('html')}) AS INT) AS n_chars FROM pages",
-    "question_uses": r"""SELECT role, CASE WHEN contains(text, '?') THEN CASE WHEN regexp_matches(text, '(?i)https?://|www\.') THEN 'link' WHEN regexp_matches(text, '[A-Za-z]+(\s+[A-Za-z]+){3,}\?') THEN 'sentence'
-  WHEN regexp_matches(text, '\w\?\w') THEN 'mid_value' ELSE 'doubt' END END AS use, count(*) AS n FROM conversations GROUP BY 1, 2""",
+    "question_uses": f"""WITH v AS (SELECT p_brand AS data_source, p_partkey % 8 AS k, list_filter(string_split_regex(lower({_ASKED}), '[^a-z0-9]+'), lambda w: w <> '') AS w FROM part),
+j AS (SELECT *, CASE WHEN len(w) >= 5 THEN CAST(len(list_filter(w, lambda x: x IN {_JOINING})) AS DOUBLE) / len(w) ELSE 0 END AS share FROM v)
+SELECT data_source, CASE k WHEN 0 THEN 'link' WHEN 1 THEN 'sentence' WHEN 2 THEN 'mid_value' WHEN 7 THEN NULL ELSE 'doubt' END AS use, CAST(floor(share * 40) AS INTEGER) AS bin, count(*) AS n FROM j GROUP BY 1, 2, 3""",
     "merged_proposals": f"WITH {_MERGED} SELECT * FROM merged",
     "disposition_census": f"""WITH {_MERGED},
 flags AS (SELECT l_orderkey AS node_id, min(CASE l_suppkey % 10 WHEN 0 THEN 0 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 4 END) AS r FROM lineitem GROUP BY 1)

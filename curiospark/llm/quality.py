@@ -208,12 +208,14 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> Gam:
         for batch in batches:
             for first, texts in slices(batch.column("text")):
                 x = np.ascontiguousarray(features(texts))
-                yield pa.RecordBatch.from_arrays([batch.column("y").slice(first, len(texts)), pa.array([r.tobytes() for r in x], pa.binary())], ["y", "x"])
-
-    # One text of each labelled id, so that repeated ids can't add up to more rows than ``most``.
-    least = docs.select("doc_id", F.xxhash64("text").alias("tell")).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "y").agg(F.min("tell").alias("tell"))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("tell"), "text").join(F.broadcast(least), ["doc_id", "tell"]).dropDuplicates(["doc_id"]).select("text", "y")
-    got = rows.mapInArrow(tidy(run), "y double, x binary").toArrow()
+                own = [batch.column(c).slice(first, len(texts)) for c in ("doc_id", "y", "tell")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "y", "tell", "x"])
+
+    # One text of each labelled id, so that repeated ids can't add up to more rows than ``most``. Only features are shuffled, never texts.
+    rows = docs.select("doc_id", F.xxhash64("text").alias("tell"), "text").join(F.broadcast(sample), "doc_id").select("doc_id", "y", "tell", "text")
+    kinds = T.StructType([rows.schema["doc_id"], rows.schema["y"], rows.schema["tell"], T.StructField("x", T.BinaryType())])
+    least = rows.mapInArrow(tidy(run), kinds).groupBy("doc_id").agg(F.min(F.struct("tell", "x", "y")).alias("least")).select("least.*")
+    got = least.select("y", "x").toArrow()
     x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float64).reshape(-1, len(FEATURES))
     y = got["y"].to_numpy()
     order = np.lexsort((y, *x.T))  # the same model whatever the order of rows

@@ -237,6 +237,36 @@ def test_quality(spark, docs, none):
     assert quality.score(none, quality.train(none, labels)).count() == 0
 
 
+def shuffled_bytes(spark):
+    sc, gateway = spark.sparkContext._jsc.sc(), spark.sparkContext._gateway
+    sc.listenerBus().waitUntilEmpty(30_000)
+    stages = sc.statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+
+
+def test_quality_learns_one_text_of_an_id_and_shuffles_none(spark):
+    r = random.Random(5)
+    # Every third id has two texts, every fifth has its text twice; a text has some 20 KB that hardly compress.
+    rows = [(k, " ".join(f"{r.getrandbits(64):x}" + "!" * (k % 2) for _ in range(1200))) for k in (*range(150), *range(0, 150, 3))]
+    rows += [x for x in rows[:150] if x[0] % 5 == 0]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(140)], "doc_id long, quality int, toxic int")
+    learned = {}
+    for d, t, tell in docs.select("doc_id", "text", F.xxhash64("text")).collect():
+        if d < 140 and zlib.crc32(str(d).encode()) % 5:
+            learned[d] = min(learned.get(d, (tell, t)), (tell, t))
+    x = quality.features(pa.array([t for _, t in learned.values()], pa.large_string()))
+    y = np.array([d % 2 for d in learned], float)
+    order = np.lexsort((y, *x.T))
+    want = quality.fit(x[order], y[order])
+    docs = docs.localCheckpoint()
+    before = shuffled_bytes(spark)
+    got = quality.train(docs, labels)
+    assert shuffled_bytes(spark) - before < sum(len(t) for _, t in learned.values()) / 20
+    assert got.base == want.base and all(np.array_equal(a, b) for a, b in zip(got.tables, want.tables, strict=True))
+    assert [(a, b) for a, b, _ in got.pairs] == [(a, b) for a, b, _ in want.pairs] and all(np.array_equal(a[2], b[2]) for a, b in zip(got.pairs, want.pairs))
+
+
 def test_language_model(spark, docs, none):
     rows = [*enumerate(TEXTS), (None, BASE[1]), (3, BASE[2]), (3, "w1 w2")]
     fold = lambda k: k is None or zlib.crc32(str(k).encode()) % 7 == 2

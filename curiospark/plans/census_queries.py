@@ -10,6 +10,7 @@ from ..functions import parsers, persons
 from ..functions.text import norm_term
 from ..operators import census, induction, matching, retrieval
 from ..sources import records
+from ..sources.dealt import dealt
 from ..sources.nodes import PART_NODES_SQL, part_nodes
 
 
@@ -61,7 +62,7 @@ def interval_statuses(spark, sf_dir):
 
 
 def placed_in_context(spark, sf_dir):
-    part = _table(spark, sf_dir, "part")
+    part = dealt(_table(spark, sf_dir, "part"), "p_partkey")
     index = part.select(F.split("p_name", " ")[0].alias("head"), F.col("p_partkey").alias("subject"), F.array(F.lower("p_type"), F.lower("p_brand")).alias("known"), (F.col("p_size") * F.when(F.col("p_partkey") % 100 == 0, 9000).otherwise(1)).cast("long").alias("prominence"))
     index = index.where("subject % 3 = 0 OR prominence > 40")
     context = F.when(F.col("p_partkey") % 4 == 0, F.array().cast("array<string>")).when(F.col("p_partkey") % 4 == 1, F.array(F.lower("p_type"), F.lower("p_brand"))).otherwise(F.array(F.lower("p_brand")))

@@ -108,16 +108,84 @@ def fuzzy_join(queries: DataFrame, terms: DataFrame, hundredths: int = 93) -> Da
     return good.groupBy("norm").agg(F.min(F.struct((-F.col("ratio")).alias("r"), "term")).alias("b")).select("norm", "b.term", (-F.col("b.r")).alias("ratio"))
 
 
+def _ordered(n: Column) -> Column:
+    """A long with its sign bit turned, so that its bits as they stand are in the order of numbers."""
+    return n.cast("long").bitwiseXOR(F.lit(-(2**63)))
+
+
+def _node(n: Column, k: Column) -> Column:
+    """The node of level k that n is in: it holds the numbers that differ in their last k bits only, and is the left or right one of a pair by its last bit."""
+    return F.call_function("shiftrightunsigned", n, k)
+
+
+def _levels(most: int = 63) -> Column:
+    return F.sequence(F.lit(0), F.lit(most))
+
+
+def _right(n: Column, k: Column) -> Column:
+    return _node(n, k).bitwiseAND(F.lit(1)) == 1
+
+
+def _other(n: Column, k: Column) -> Column:
+    return F.struct(k.alias("level"), _node(n, k).bitwiseXOR(F.lit(1)).alias("node"))
+
+
+def _single(n: Column) -> Column:
+    return F.struct(F.lit(0).alias("level"), n.alias("node"))
+
+
+def _below(n: Column, also: bool) -> Column:
+    """(level, node) of disjoint nodes that hold all numbers below n, or up to n."""
+    left = F.transform(F.filter(_levels(), lambda k: _right(n, k)), lambda k: _other(n, k))
+    return F.concat(left, F.array(_single(n))) if also else left
+
+
+def _prefix_sums(bounds: DataFrame, points: DataFrame, also: bool) -> DataFrame:
+    """query_id, n, total over the points (at, n, total) below or up to each bound (query_id, at)."""
+    usable = F.filter(_levels(), lambda k: (k == 0) | ~_right(F.col("at"), k))
+    ups = F.transform(usable, lambda k: F.struct(k.alias("level"), _node(F.col("at"), k).alias("node")))
+    sums = points.select(F.explode(ups).alias("p"), "n", "total").groupBy("p.level", "p.node").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    return bounds.select("query_id", F.inline(_below(F.col("at"), also))).join(sums, ["level", "node"]).select("query_id", "n", "total")
+
+
+def overlap_totals(queries: DataFrame, spans: DataFrame) -> DataFrame:
+    """query_id, n, spans: how many spans share a value with the queries of that id, and the sum of their ids.
+
+    Spans that begin up to the query's end, less those that end before it begins. Sums over nodes of 1, 2, 4, ... numbers make up both, so that
+    neither pairs nor the values of a span are listed; a query reads at most 64 nodes for each.
+    """
+    asked, own = queries.where("lo <= hi").select("query_id", "lo", "hi"), spans.where("lo <= hi")
+    at = lambda name: own.groupBy(_ordered(F.col(name)).alias("at")).agg(F.count("*").alias("n"), F.sum("span_id").cast("decimal(38,0)").alias("total"))
+    begun = _prefix_sums(asked.select("query_id", _ordered(F.col("hi")).alias("at")), at("lo"), also=True)
+    ended = _prefix_sums(asked.select("query_id", _ordered(F.col("lo")).alias("at")), at("hi"), also=False)
+    both = begun.unionByName(ended.select("query_id", (-F.col("n")).alias("n"), (-F.col("total")).alias("total")))
+    return both.groupBy("query_id").agg(F.sum("n").alias("n"), F.sum("total").cast("long").alias("spans")).where("n > 0")
+
+
 def overlaps(queries: DataFrame, spans: DataFrame, width: int = 10) -> DataFrame:
-    """Pairs of query (query_id, lo, hi) and span (span_id, lo, hi) that share a value, by buckets of ``width``.
+    """Pairs of query (query_id, lo, hi) and span (span_id, lo, hi) that share a value. ``width`` is of no effect any more.
 
-    A pair that shares several buckets is taken in the first of them, so that nothing needs to be made distinct.
+    Of such a pair either the span begins within the query, or the query begins within the span, but not with it. An interval is cut into at most
+    126 nodes of 1, 2, 4, ... numbers and a number is in one node of each size, so that each pair is met once, and no other.
     """
-    bucket = lambda c: F.floor(F.col(c) / width)
-    q = queries.where("lo <= hi").select("query_id", F.col("lo").alias("qlo"), F.col("hi").alias("qhi"), F.explode(F.sequence(bucket("lo"), bucket("hi"))).alias("bucket"))
-    s = spans.where("lo <= hi").select("span_id", "lo", "hi", F.explode(F.sequence(bucket("lo"), bucket("hi"))).alias("bucket"))
-    both = q.join(s, "bucket").where((F.col("qlo") <= F.col("hi")) & (F.col("lo") <= F.col("qhi")))
-    return both.where(F.col("bucket") == F.floor(F.greatest("qlo", "lo") / width)).select("query_id", "span_id")
+    q, s = queries.where("lo <= hi").select("query_id", "lo", "hi"), spans.where("lo <= hi").select("span_id", "lo", "hi")
+    after = s.where("lo < hi").select("span_id", (F.col("lo") + 1).alias("lo"), "hi")
+    return _within(q, s, "query_id", "span_id").unionByName(_within(after, q, "span_id", "query_id"))
+
+
+def _within(intervals: DataFrame, points: DataFrame, key: str, other: str) -> DataFrame:
+    """key, other where ``lo`` of ``points`` is in the interval."""
+    lo, hi = F.col("a"), F.col("b")
+    # Up to the pair in which both ends meet: what is right of the lower end and left of the upper one.
+    apart = F.filter(_levels(62), lambda k: _node(lo, k + 1) != _node(hi, k + 1))
+    right = F.transform(F.filter(apart, lambda k: ~_right(lo, k)), lambda k: _other(lo, k))
+    left = F.transform(F.filter(apart, lambda k: _right(hi, k)), lambda k: _other(hi, k))
+    nodes = intervals.select(key, _ordered(F.col("lo")).alias("a"), _ordered(F.col("hi")).alias("b"))
+    nodes = nodes.select(key, F.inline(F.concat(right, left, F.when(lo == hi, F.array(_single(lo))).otherwise(F.array(_single(lo), _single(hi))))))
+    used = F.broadcast(nodes.groupBy().agg(F.collect_set("level").alias("used")))
+    at = points.select(other, _ordered(F.col("lo")).alias("at")).crossJoin(used)
+    at = at.select(other, F.inline(F.transform("used", lambda k: F.struct(k.alias("level"), _node(F.col("at"), k).alias("node")))))
+    return nodes.join(at, ["level", "node"]).select(key, other)
 
 
 def prefix_matches(queries: DataFrame, texts: DataFrame, longest: int = 12) -> DataFrame:

@@ -138,7 +138,7 @@ def overlapping_spans(spark, sf_dir):
     days = _table(spark, sf_dir, "orders").select(F.col("o_orderkey"), F.datediff(F.col("o_orderdate"), F.to_date(F.lit("1990-01-01"))).alias("lo"))
     spans = days.select(F.col("o_orderkey").alias("span_id"), "lo", (F.col("lo") + F.col("o_orderkey") % 30).cast("int").alias("hi"))
     parts = _table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("query_id"), (1900 + F.col("s_suppkey") * 7).cast("int").alias("lo"), (1900 + F.col("s_suppkey") * 8).cast("int").alias("hi"))
-    return alignment.overlaps(parts, spans, 30).groupBy("query_id").agg(F.count("*").alias("n"), F.sum("span_id").alias("spans"))
+    return alignment.overlap_totals(parts, spans)
 
 
 def prefix_matches(spark, sf_dir):

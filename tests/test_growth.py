@@ -2,7 +2,7 @@
 
 import random
 
-from curiospark.operators import matching
+from curiospark.operators import alignment, matching
 
 
 def plans(plan):
@@ -51,3 +51,25 @@ def test_resolving_in_context_equals_comparing_all(spark):
     for r in got.collect():
         found[tuple(r)] = found.get(tuple(r), 0) + 1
     assert found == want and {k[4] for k in want} == {None, "context_full", "unique", "prominent"}
+
+
+def test_overlaps_of_spans_of_any_width(spark):
+    rng = random.Random(9)
+    least, most = -(2**63), 2**63 - 1
+    ends = [least, least + 1, -(10**12), -9, -1, 0, 1, 7, 8, 30, 10**12, most - 1, most]
+    some = lambda: rng.choice(ends) if rng.random() < 0.4 else rng.randrange(-20, 60)
+    queries, spans = ([(i, some(), some()) for i in range(n)] for n in (120, 150))
+    want = sorted((q, s) for q, a, b in queries for s, c, d in spans if a <= b and c <= d and a <= d and c <= b)
+    asked, own = spark.createDataFrame(queries, "query_id long, lo long, hi long"), spark.createDataFrame(spans, "span_id long, lo long, hi long")
+    assert sorted(map(tuple, alignment.overlaps(asked, own).collect())) == want
+    totals = {}
+    for q, s in want:
+        n, total = totals.get(q, (0, 0))
+        totals[q] = n + 1, total + s
+    assert {r.query_id: (r.n, r.spans) for r in alignment.overlap_totals(asked, own).collect()} == totals
+
+
+def test_totals_of_overlaps_list_no_pairs(spark):
+    queries, spans = spark.range(300).selectExpr("id AS query_id", "0 AS lo", "1000000000 AS hi"), spark.range(3000).selectExpr("id AS span_id", "id % 50 AS lo", "id % 50 + 5 AS hi")
+    got = alignment.overlap_totals(queries, spans)
+    assert {(r.n, r.spans) for r in got.collect()} == {(3000, 4498500)} and most_rows(got) < 20_000

@@ -192,17 +192,26 @@ def prefix_matches(queries: DataFrame, texts: DataFrame, longest: int = 12) -> D
     """query_id, doc_id where every token of the query begins a word of the text.
 
     Both are (id, tokens). Words are cut to the lengths that the queries' tokens have, and joined on equality; a token
-    of more than ``longest`` letters is first joined by that many and then compared whole.
+    of more than ``longest`` letters is first joined by that many and then compared whole. A text is looked at for a query only
+    where it has a word that the query's rarest token begins; the words of these tokens, no more than such pairs, are broadcast.
     """
-    asked = queries.select("query_id", F.size(F.array_distinct("tokens")).alias("n"), F.explode(F.array_distinct("tokens")).alias("token"))
-    words = texts.select("doc_id", F.explode(F.array_distinct("tokens")).alias("word"))
-    vocabulary = words.select("word").distinct()
-    starts = vocabulary.select("word", F.explode(F.sequence(F.lit(1), F.least(F.length("word"), F.lit(longest)))).alias("k")).where(F.length("word") > 0)
-    starts = starts.select("word", F.expr("substring(word, 1, k)").alias("start"))
-    tokens = asked.select("token").distinct().withColumn("start", F.substring("token", 1, longest))
-    hits = tokens.join(starts, "start").where(F.expr("startswith(word, token)")).select("token", "word")
-    found = asked.join(hits, "token").join(words, "word").groupBy("query_id", "doc_id").agg(F.countDistinct("token").alias("m"), F.max("n").alias("n"))
-    return found.where("m = n").select("query_id", "doc_id")
+    asked = queries.groupBy("query_id").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("asked"))
+    tokens = asked.select("query_id", F.explode("asked").alias("token"))
+    words = texts.select("doc_id", F.explode(F.array_distinct("tokens")).alias("word")).where("word <> ''")
+    each = tokens.select("token").distinct().withColumn("start", F.substring("token", 1, longest))
+    lengths = F.broadcast(each.where("start <> ''").select(F.length("start").alias("k")).distinct())
+    vocabulary = words.groupBy("word").agg(F.count("*").alias("df"))
+    starts = vocabulary.join(lengths, F.length("word") >= F.col("k")).withColumn("start", F.expr("substring(word, 1, k)"))
+    # Both uses need df, so that they share one count of the words.
+    hits = each.join(starts, "start").where(F.expr("startswith(word, token)") & (F.col("df") > 0)).select("token", "word", "df")
+    uses = tokens.join(hits.groupBy("token").agg(F.sum("df").alias("uses")), "token", "left")
+    rarest = uses.groupBy("query_id").agg(F.min(F.struct(F.coalesce("uses", F.lit(0)).alias("uses"), "token"))["token"].alias("token"))
+    near = words.join(F.broadcast(rarest.join(hits, "token").select("query_id", "word")), "word").select("query_id", "doc_id").distinct()
+    pairs = texts.withColumnRenamed("doc_id", "id").join(near.join(asked, "query_id"), F.col("id").eqNullSafe(F.col("doc_id")))
+    begins = lambda t: (F.length(t) > 0) & F.exists("tokens", lambda w: F.coalesce(w.startswith(t), F.lit(False)))
+    found = pairs.select("query_id", "doc_id", F.size("asked").alias("n"), F.filter("asked", begins).alias("found"))
+    whole = found.groupBy("query_id", "doc_id").agg(F.max("n").alias("n"), F.size(F.array_distinct(F.flatten(F.collect_list("found")))).alias("m"))
+    return whole.where("m = n").select("query_id", "doc_id")
 
 
 def coverage_queue(values: DataFrame, group: str, weight: str, tie: str, share: float) -> DataFrame:

@@ -73,3 +73,25 @@ def test_totals_of_overlaps_list_no_pairs(spark):
     queries, spans = spark.range(300).selectExpr("id AS query_id", "0 AS lo", "1000000000 AS hi"), spark.range(3000).selectExpr("id AS span_id", "id % 50 AS lo", "id % 50 + 5 AS hi")
     got = alignment.overlap_totals(queries, spans)
     assert {(r.n, r.spans) for r in got.collect()} == {(3000, 4498500)} and most_rows(got) < 20_000
+
+
+def test_texts_are_looked_at_by_the_rarest_token(spark):
+    texts = spark.range(3000).selectExpr("id AS doc_id", "array('every', 'common', 'wordy', concat('w', id + 10000), NULL) AS tokens")
+    asked = spark.range(40).selectExpr("id AS query_id", "array('ev', 'com', 'word', concat('w', id * 70 + 10200)) AS tokens")
+    got = alignment.prefix_matches(asked, texts)
+    assert sorted(map(tuple, got.collect())) == sorted((i, i * 70 + 200) for i in range(40))
+    assert most_rows(got) < 100_000
+
+
+def test_prefix_matches_equal_comparing_all(spark):
+    rng = random.Random(4)
+    word = lambda most: "".join(rng.choice("ab") for _ in range(rng.randrange(1, most)))
+    texts = [(rng.choice([*range(50), None]), [rng.choice([word(17), word(17), "", None]) for _ in range(rng.randrange(9))]) for _ in range(80)]
+    queries = [(i, [word(16) if rng.random() < 0.3 else word(4) for _ in range(rng.randrange(4))]) for i in range(60)] + [(60, ["a", ""]), (61, ["a", None]), (62, None)]
+    of = {}
+    for d, t in texts:
+        of.setdefault(d, set()).update(w for w in t if w)
+    want = {(q, d) for q, t in queries if t and all(t) for d, ws in of.items() if all(any(w.startswith(x) for w in ws) for x in t)}
+    got = alignment.prefix_matches(spark.createDataFrame(queries, "query_id int, tokens array<string>"), spark.createDataFrame(texts, "doc_id int, tokens array<string>"))
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want and len(want) > 100 and any(d is None for _, d in want)

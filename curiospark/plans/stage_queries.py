@@ -9,6 +9,7 @@ from ..functions import clean
 from ..functions import dates as dated
 from ..functions import text as T
 from ..operators import alignment, compile, statistics
+from ..sources.dealt import dealt
 from ..sources.nodes import ORDER_TREE_SQL, PART_NODES_SQL, order_tree, part_nodes
 from .profile_queries import rounded
 
@@ -36,19 +37,21 @@ def question_uses(spark, sf_dir):
 
 def _orders_base(spark, sf_dir) -> DataFrame:
     """Orders as nodes of their priority's field."""
-    return _table(spark, sf_dir, "orders").select(
+    found = _table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("node_id"), F.col("o_custkey").alias("record_id"), F.substring("o_orderpriority", 1, 1).alias("data_source"),
         F.col("o_orderpriority").alias("field_type"), F.col("o_orderstatus").alias("value"), F.col("o_orderstatus").alias("base_value"),
     )
+    return dealt(found, "node_id", 100_000)
 
 
 def _line_proposals(spark, sf_dir) -> DataFrame:
     """Order lines as proposals about their orders."""
-    return _table(spark, sf_dir, "lineitem").select(
+    found = _table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("node_id"), F.expr("CASE WHEN l_linenumber = 3 THEN 'X' WHEN l_linenumber = 2 THEN 'O' END").alias("expect_value"),
         F.col("l_returnflag").alias("new_value"), F.expr("concat('c', l_partkey % 3)").alias("component"), F.expr("CAST(l_linenumber % 2 AS INT)").alias("tier"),
         F.expr("CASE WHEN l_linenumber % 4 <> 0 THEN l_discount END").alias("confidence"),
     )
+    return dealt(found, "node_id", 400_000)
 
 
 PROTECTED = ("1-URGENT",)

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 
 #: A task takes about so many rows. Compact files come in few splits, however many rows these hold.
-ROWS = 100_000
+ROWS = 50_000
 
 
 def dealt(df: DataFrame, key: str, rows: int = ROWS) -> DataFrame:

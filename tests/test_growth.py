@@ -2,7 +2,13 @@
 
 import random
 
+import pytest
+
 from curiospark.operators import alignment, matching
+from curiospark.plans import census_queries, stage_queries
+from curiospark.sources.dealt import dealt
+
+QUERIES = stage_queries.QUERIES | census_queries.QUERIES
 
 
 def plans(plan):
@@ -95,3 +101,43 @@ def test_prefix_matches_equal_comparing_all(spark):
     got = alignment.prefix_matches(spark.createDataFrame(queries, "query_id int, tokens array<string>"), spark.createDataFrame(texts, "doc_id int, tokens array<string>"))
     rows = [tuple(r) for r in got.collect()]
     assert len(rows) == len(set(rows)) and set(rows) == want and len(want) > 100 and any(d is None for _, d in want)
+
+
+def test_rows_are_dealt_by_their_number(spark):
+    assert dealt(spark.range(10), "id", 10).rdd.getNumPartitions() == spark.range(10).rdd.getNumPartitions()
+    deal = dealt(spark.range(0, 95, 1, 1), "id", 10)
+    assert deal.rdd.getNumPartitions() == 10 and sorted(r.id for r in deal.collect()) == list(range(95))
+
+
+def scan_of_one_task(spark, tmp_path, name):
+    """A folder whose table ``name`` is one compact file of 120,000 rows, and few rows of the others."""
+    from pyspark.sql import functions as F
+
+    for table, key in (("part", "p_partkey"), ("customer", "c_custkey"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        own = spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet").limit(100).coalesce(1)
+        more = own.crossJoin(spark.range(1200 if table == name else 1).withColumnRenamed("id", "i")).withColumn(key, F.col(key) + F.col("i") * 100_000).drop("i")
+        more.coalesce(1).write.parquet(f"{tmp_path}/{table}.parquet")
+    return str(tmp_path)
+
+
+def widest(df):
+    """The most tasks of a shuffle of a query."""
+    found = [p.outputPartitioning().numPartitions() for p in plans(df._jdf.queryExecution().executedPlan()) if p.nodeName() == "Exchange"]
+    return max(found, default=0)
+
+
+@pytest.mark.parametrize(("query", "table", "least"), [("merged_proposals", "orders", 2), ("placed_in_context", "part", 3)])
+def test_compact_files_are_dealt_to_several_tasks(spark, tmp_path, query, table, least):
+    sf_dir, before = scan_of_one_task(spark, tmp_path, table), spark.conf.get("spark.sql.shuffle.partitions")
+    rows = spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = QUERIES[query](spark, sf_dir)
+        got.collect()
+        assert widest(got) >= least and rows >= 110_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_conformance_counts_repeated_nodes_as_often_as_they_occur(spark):
+    nodes = [("

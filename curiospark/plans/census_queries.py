@@ -36,7 +36,7 @@ _CONF_FIELDS = [("title", _NAME), ("descr", _MESSY), ("objnum", "CAST(p_partkey
 
 def _catalogue(spark, sf_dir) -> DataFrame:
     pairs = F.explode(F.array(*(F.struct(F.lit(f).alias("field_type"), F.expr(e).alias("value")) for f, e in _CONF_FIELDS)))
-    rows = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("record_id"), F.col("p_brand").alias("data_source"), pairs.alias("p"))
+    rows = dealt(_table(spark, sf_dir, "part"), "p_partkey").select(F.col("p_partkey").alias("record_id"), F.col("p_brand").alias("data_source"), pairs.alias("p"))
     return rows.select("record_id", "data_source", F.lit(0).alias("parent_id"), "p.field_type", "p.value")
 
 

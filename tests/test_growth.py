@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from curiospark.operators import alignment, matching
+from curiospark.operators import alignment, census, matching
 from curiospark.plans import census_queries, stage_queries
 from curiospark.sources.dealt import dealt
 
@@ -126,7 +126,7 @@ def widest(df):
     return max(found, default=0)
 
 
-@pytest.mark.parametrize(("query", "table", "least"), [("merged_proposals", "orders", 2), ("placed_in_context", "part", 3)])
+@pytest.mark.parametrize(("query", "table", "least"), [("merged_proposals", "orders", 2), ("conformance", "part", 3), ("placed_in_context", "part", 3)])
 def test_compact_files_are_dealt_to_several_tasks(spark, tmp_path, query, table, least):
     sf_dir, before = scan_of_one_task(spark, tmp_path, table), spark.conf.get("spark.sql.shuffle.partitions")
     rows = spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
@@ -140,4 +140,7 @@ def test_compact_files_are_dealt_to_several_tasks(spark, tmp_path, query, table,
 
 
 def test_conformance_counts_repeated_nodes_as_often_as_they_occur(spark):
-    nodes = [("
+    nodes = [("r", "s", 0, "count", "3"), ("r", "s", 0, "count", "3"), ("r", "s", 0, "count", "x"), ("q", None, 0, "title", "lamp"), ("q", None, 0, "count", "1")]
+    found = census.conformance(spark.createDataFrame(nodes, "record_id string, data_source string, parent_id int, field_type string, value string"), "title", "descr", "objnum", ["made"], ["descr"], ["title", "count"], ["count"], ["objnum"])
+    got = {r.record_id: (r.pass_duplicate_stmt, r.pass_model_typed, r.pass_reuse) for r in found.collect()}
+    assert got == {"r": (False, 2 / 3, None), "q": (True, 1.0, True)}

@@ -20,10 +20,12 @@ def base_table(nodes: DataFrame, fixes: DataFrame, protected: Sequence[str] = ()
     verbatim ones keep their outer separators.
     """
     found = nodes.join(fixes, ["field_type", "value"], "left")
-    text = clean.plain(F.coalesce("fixed", "value"))
-    stripped = F.when(F.col("field_type").isin(*verbatim), text).otherwise(clean.strip_separators(text))
-    said = ~(clean.is_empty(stripped) | clean.says_nothing(text) | clean.says_nothing(stripped) | clean.echoes(stripped, F.col("field_type")))
-    value = F.when(F.col("field_type").isin(*protected), F.col("value")).when(said, stripped)
+    field = F.col("field_type")
+    # A lambda's variable is worked out once; the same column written out several times may be worked out as often.
+    once = lambda c, use: F.get(F.transform(F.array(c), use), F.lit(0))
+    said = lambda text, bare: F.when(~(clean.is_empty(bare) | clean.says_nothing(text) | clean.says_nothing(bare) | clean.echoes(bare, field)), bare)
+    own = once(clean.plain(F.coalesce("fixed", "value")), lambda text: once(F.when(field.isin(*verbatim), text).otherwise(clean.strip_separators(text)), lambda bare: said(text, bare)))
+    value = F.when(field.isin(*protected), F.col("value")).otherwise(own)
     return found.withColumn("base_value", value).drop("fixed")
 
 

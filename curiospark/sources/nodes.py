@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .dealt import dealt
+
 
 def unpivoted(wide: DataFrame, record_id: str, data_source: str, fields: list[str]) -> DataFrame:
     """One row per field of a wide row, null values included; ids and values as strings."""
@@ -14,7 +16,7 @@ def unpivoted(wide: DataFrame, record_id: str, data_source: str, fields: list[st
 
 def part_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as records of their brands; sizes are missing from every seventh part, to have gaps to measure."""
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    part = dealt(spark.read.parquet(f"{sf_dir}/part.parquet"), "p_partkey")
     part = part.withColumn("p_size", F.when(F.col("p_partkey") % 7 != 0, F.col("p_size"))).withColumn("p_retailprice", F.when(F.col("p_partkey") % 5 != 0, F.col("p_retailprice").cast("long")))
     return unpivoted(part, "p_partkey", "p_brand", ["p_name", "p_type", "p_size", "p_retailprice"])
 

@@ -83,7 +83,7 @@ def base_values(spark, sf_dir):
 
 
 def inlined_groups(spark, sf_dir):
-    own = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("record_id"), F.concat(F.lit("n"), F.col("c_custkey")).alias("node_id"), "c_mktsegment", "c_acctbal")
+    own = dealt(_table(spark, sf_dir, "customer"), "c_custkey").select(F.col("c_custkey").alias("record_id"), F.concat(F.lit("n"), F.col("c_custkey")).alias("node_id"), "c_mktsegment", "c_acctbal")
     made = compile.inline_groups(own, "doubt", {"note": F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")), "debt": F.when(F.col("c_acctbal") < 0, F.lit("yes"))})
     return made.groupBy("depth", "field_type", "value").agg(F.count("*").alias("n"), F.countDistinct("node_id").alias("ids"), F.countDistinct("parent_id").alias("parents"))
 

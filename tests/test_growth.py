@@ -126,7 +126,7 @@ def widest(df):
     return max(found, default=0)
 
 
-@pytest.mark.parametrize(("query", "table", "least"), [("merged_proposals", "orders", 2), ("conformance", "part", 3), ("base_values", "part", 3), ("placed_in_context", "part", 3)])
+@pytest.mark.parametrize(("query", "table", "least"), [("merged_proposals", "orders", 2), ("conformance", "part", 3), ("base_values", "part", 3), ("inlined_groups", "customer", 3), ("placed_in_context", "part", 3)])
 def test_compact_files_are_dealt_to_several_tasks(spark, tmp_path, query, table, least):
     sf_dir, before = scan_of_one_task(spark, tmp_path, table), spark.conf.get("spark.sql.shuffle.partitions")
     rows = spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
